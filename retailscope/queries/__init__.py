@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("tables", "features")
+MODULES = ("tables", "features", "scores", "explain", "reports")
 
 
 def load_queries() -> tuple[dict[str, QueryFunction], dict[str, str]]:

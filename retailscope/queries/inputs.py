@@ -7,8 +7,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailscope.config import DEDUP_COLUMNS, RunConfig
+from retailscope.config import DEDUP_COLUMNS, FEATURE_COLUMNS, RunConfig
+from retailscope.functions import scorecard
 from retailscope.operators import clean, features
+from retailscope.operators.prep import fit_scaler, stratified_split
+from retailscope.operators.score import split_valid
 from retailscope.plans.feature_table import customer_features
 from retailscope.sources import star_schema
 from retailscope.sources.shared import materialize
@@ -88,3 +91,29 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round double columns at the output edge, so equal results compare equal across engines."""
     changed = {n: F.round(F.col(n), digits) for n, t in df.dtypes if t == "double"}
     return df.withColumns(changed) if changed else df
+
+
+def scoring_input(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows fit to score: standard scores in the feature columns, the original values as ``raw_*``."""
+    table = feature_table(spark, folder)
+    good, _ = split_valid(table)
+    kept = good.withColumns({f"raw_{c}": F.col(c) for c in FEATURE_COLUMNS})
+    return scorecard.standard_scores(kept, fit_scaler(table, FEATURE_COLUMNS))
+
+
+def scored(spark: SparkSession, folder: str) -> DataFrame:
+    """The scorecard's probability per customer, with label and split, written once per session."""
+
+    def build() -> DataFrame:
+        z = scoring_input(spark, folder)
+        scores = z.select(
+            "customer_id",
+            *[
+                scorecard.probability(scorecard.contributions(weights)).alias(name)
+                for name, weights in scorecard.VARIANTS.items()
+            ],
+        )
+        splits = stratified_split(feature_table(spark, folder)).select("customer_id", "churned", "split")
+        return splits.join(scores, "customer_id").withColumn("churn_probability", F.col("scorecard_full"))
+
+    return written_once("scores", spark, folder, build)
