@@ -221,10 +221,9 @@ def local_surrogate(
     weighted = scored.withColumn("weight", F.exp(-squares / (2 * width * width)))
     columns = [F.lit(1.0)] + [F.col(f"{f}_noise") for f in features]
     size = len(columns)
+    upper = [(i, j) for i in range(size) for j in range(i, size)]  # the normal matrix is symmetric
     sums = weighted.groupBy("customer_id").agg(
-        F.array(
-            *[F.sum(F.col("weight") * columns[i] * columns[j]) for i in range(size) for j in range(size)]
-        ).alias("normal"),
+        F.array(*[F.sum(F.col("weight") * columns[i] * columns[j]) for i, j in upper]).alias("normal"),
         F.array(*[F.sum(F.col("weight") * columns[i] * F.col("probability")) for i in range(size)]).alias("moment"),
     )
     names = list(features)
@@ -233,7 +232,9 @@ def local_surrogate(
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                normal = np.asarray(row.normal, dtype=float).reshape(size, size)
+                normal = np.zeros((size, size))
+                for (i, j), total in zip(upper, row.normal):
+                    normal[i, j] = normal[j, i] = total
                 penalty = ridge * np.eye(size)
                 penalty[0, 0] = 0.0
                 weights = np.linalg.solve(normal + penalty, np.asarray(row.moment, dtype=float))[1:]
