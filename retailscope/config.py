@@ -37,7 +37,7 @@ FEATURE_RANGES = {
 }
 
 MODEL_VERSION = "1.0.0"
-FALLBACK_MODEL_NAME = "xgboost"
+FALLBACK_MODEL_NAME = "boosted_trees"
 
 
 @dataclass(frozen=True)
