@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 BUCKET_STEPS = (64, 32, 16, 8, 4, 2, 1)
 N_BUCKETS = 2 * BUCKET_STEPS[0]
+CUT_ACCURACY = 1000  # ten times finer than a bucket is wide
 
 
 def cumulative_histogram(
@@ -25,11 +26,13 @@ def cumulative_histogram(
     keys: Sequence[str] = (),
     counts: Mapping[str, Column] | None = None,
     bucket: Column | None = None,
+    only: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per distinct ``(keys, value)``: ``n`` rows, ``below`` = rows with a smaller value, ``total``.
 
     Rows whose value is null count nowhere. ``counts`` adds named sums per value. ``bucket`` replaces
-    the quantile cut points by an expression over ``value`` that never decreases with it.
+    the quantile cut points by an expression over ``value`` that never decreases with it. ``only`` are
+    row positions (from 0, over ``total``): buckets that hold none of them are dropped before ranking.
     """
     keys = list(keys)
     counts = dict(counts or {})
@@ -42,7 +45,7 @@ def cumulative_histogram(
         # every histogram column takes part, so this branch and the main one share one shuffle
         shape = histogram.agg(
             F.struct(
-                F.percentile_approx("value", probabilities, 10000).alias("points"),
+                F.percentile_approx("value", probabilities, CUT_ACCURACY).alias("points"),
                 F.sum("n"), *[F.sum(name) for name in counts], *[F.max(k) for k in keys],
             ).alias("shape")
         ).scalar()
@@ -50,33 +53,37 @@ def cumulative_histogram(
     else:
         placed = histogram.withColumn("bucket", F.coalesce(bucket.cast("int"), F.lit(0)))
 
-    per_bucket = placed.groupBy(*keys, "bucket").agg(
-        F.sum("n").alias("bucket_n"), *[F.sum(name) for name in counts]
-    )
-    over_keys = Window.partitionBy(*keys)
-    offsets = per_bucket.select(
-        *[F.col(k).alias(f"offset_{k}") for k in keys],
-        F.col("bucket").alias("offset_bucket"),
-        F.coalesce(
-            F.sum("bucket_n").over(over_keys.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("before"),
-        F.sum("bucket_n").over(over_keys).alias("total"),
+    # one struct column carries the null-safe key, so ranking and the join share one partitioning
+    placed = placed.withColumn("slot", F.struct(*keys, "bucket"))
+    over_keys = Window.partitionBy(*[f"slot.{k}" for k in keys])
+    offsets = (
+        placed.groupBy("slot")
+        .agg(F.sum("n").alias("bucket_n"), *[F.sum(name) for name in counts])
+        .select(
+            "slot", "bucket_n",
+            F.coalesce(
+                F.sum("bucket_n").over(over_keys.orderBy("slot.bucket").rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0),
+            ).alias("before"),
+            F.sum("bucket_n").over(over_keys).alias("total"),
+        )
     )
+    if only:
+        inside_bucket = [(F.col("before") <= p) & (p < F.col("before") + F.col("bucket_n")) for p in only]
+        wanted = inside_bucket[0]
+        for other in inside_bucket[1:]:
+            wanted = wanted | other
+        offsets = offsets.where(wanted)
+    offsets = offsets.drop("bucket_n")
     if not keys:
         offsets = F.broadcast(offsets)  # one row per bucket
 
-    inside = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = placed.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    match = ranked["bucket"] == offsets["offset_bucket"]
-    for k in keys:
-        match = match & ranked[k].eqNullSafe(offsets[f"offset_{k}"])
+    in_slot = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranked.join(offsets, match)
+        placed.join(offsets, "slot")
+        .withColumn("inside", F.coalesce(F.sum("n").over(in_slot), F.lit(0)))
         .where(F.col("n") > 0)
-        .select(
-            *keys, "value", "n", *counts, (F.col("before") + F.col("inside")).alias("below"), "total"
-        )
+        .select(*keys, "value", "n", *counts, (F.col("before") + F.col("inside")).alias("below"), "total")
     )
 
 
@@ -104,15 +111,16 @@ def exact_quantiles(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Linearly interpolated quantiles per key, one column per named probability."""
-    ranked = cumulative_histogram(df, value.cast("double"), keys)
+    positions = {name: F.lit(p) * (F.col("total") - 1) for name, p in probabilities.items()}
+    edges_wanted = [side(position) for position in positions.values() for side in (F.floor, F.ceil)]
+    ranked = cumulative_histogram(df, value.cast("double"), keys, only=edges_wanted)
 
     def at(position: Column) -> Column:
         hit = (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
         return F.max(F.when(hit, F.col("value")))
 
     aggregates = []
-    for name, p in probabilities.items():
-        position = F.lit(p) * (F.col("total") - 1)
+    for name, position in positions.items():
         aggregates += [
             at(F.floor(position)).alias(f"{name}_low"),
             at(F.ceil(position)).alias(f"{name}_high"),

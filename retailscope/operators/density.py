@@ -56,10 +56,9 @@ def neighbour_counts(points: DataFrame, eps: float, axes: Sequence[int]) -> Data
     """Points with the number of rows within ``eps``, the point itself included."""
     limit = eps * eps
 
-    def count(left, left_matrix, right, right_matrix):
-        weight = np.array([r["weight"] for r in right], dtype=float)
-        totals = (squared_distances(left_matrix, right_matrix) <= limit) @ weight
-        return [(int(r["id"]), int(t)) for r, t in zip(left, totals)]
+    def count(left, right):
+        near = squared_distances(left["vector"], right["vector"]) <= limit
+        return left["id"], near.astype("int64") @ right["weight"]
 
     partial = compare_near(points, eps, axes, ["id", "vector", "weight"], count, "id bigint, n bigint")
     return points.join(partial.groupBy("id").agg(F.sum("n").alias("n_neighbours")), "id")
@@ -69,20 +68,19 @@ def core_links(cores: DataFrame, eps: float, axes: Sequence[int]) -> DataFrame:
     """Edges that connect what each block pair connects: a spanning star per component, not its pairs."""
     limit = eps * eps
 
-    def link(left, left_matrix, right, right_matrix):
-        near = squared_distances(left_matrix, right_matrix) <= limit
-        left_ids = np.array([r["id"] for r in left], dtype=np.int64)
-        right_ids = np.array([r["id"] for r in right], dtype=np.int64)
+    def link(left, right):
+        near = squared_distances(left["vector"], right["vector"]) <= limit
         far = np.iinfo(np.int64).max
-        left_label, right_label = left_ids.copy(), right_ids.copy()
+        left_label, right_label = left["id"].copy(), right["id"].copy()
         while True:
             new_left = np.minimum(left_label, np.where(near, right_label[None, :], far).min(axis=1))
             new_right = np.minimum(right_label, np.where(near, new_left[:, None], far).min(axis=0))
             if (new_left == left_label).all() and (new_right == right_label).all():
                 break
             left_label, right_label = new_left, new_right
-        pairs = set(zip(left_ids.tolist(), left_label.tolist())) | set(zip(right_ids.tolist(), right_label.tolist()))
-        return [(a, b) for a, b in pairs if a != b]
+        ids = np.concatenate([left["id"], right["id"]])
+        labels = np.concatenate([left_label, right_label])
+        return ids[ids != labels], labels[ids != labels]
 
     return compare_near(cores, eps, axes, ["id", "vector"], link, "a bigint, b bigint").distinct()
 
@@ -132,11 +130,12 @@ def dbscan(
     )
     limit = eps * eps
 
-    def adopt(left, left_matrix, right, right_matrix):
-        cluster = np.array([r["cluster"] for r in right], dtype=np.int64)
-        near = (squared_distances(left_matrix, right_matrix) <= limit) & (cluster != NOISE)[None, :]
+    def adopt(left, right):
+        cluster = right["cluster"]
+        near = (squared_distances(left["vector"], right["vector"]) <= limit) & (cluster != NOISE)[None, :]
         best = np.where(near, cluster[None, :], np.iinfo(np.int64).max).min(axis=1)
-        return [(int(r["id"]), int(b)) for r, b, hit in zip(left, best, near.any(axis=1)) if hit]
+        hit = near.any(axis=1)
+        return left["id"][hit], best[hit]
 
     offers = compare_near(known, eps, axes, ["id", "vector", "cluster"], adopt, "id bigint, offer bigint")
     adopted = offers.groupBy("id").agg(F.min("offer").alias("offer"))

@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from retailscope.functions.ranks import exact_quantiles, percent_ranks
 from retailscope.functions.timeparts import timestamp, whole_days
+from retailscope.sources.shared import materialize
 
 PERIOD_DAYS = 30
 MARKDOWN_QUANTILE = 0.1
@@ -221,26 +222,21 @@ def compute_return_rate(lines: DataFrame, cutoff: datetime) -> DataFrame:
 
 
 def markdown_thresholds(history: DataFrame) -> DataFrame:
-    """Bottom-decile price per stock code.
-
-    Invalid prices are nulled rather than filtered: a price filter would sink below deduplication and
-    keep this branch from sharing the shuffle that the main branch uses.
-    """
-    usable = F.when(~F.col("is_invalid_price"), F.col("price"))
-    return exact_quantiles(history, usable, {"markdown_price": MARKDOWN_QUANTILE}, ["stock_code"])
+    """Bottom-decile price per stock code, over validly priced lines."""
+    priced = history.where(~F.col("is_invalid_price") & F.col("stock_code").isNotNull())
+    return exact_quantiles(priced, F.col("price"), {"markdown_price": MARKDOWN_QUANTILE}, ["stock_code"])
 
 
 def with_markdown_flag(history: DataFrame) -> DataFrame:
     """Mark lines priced in their product's bottom decile; null where the price is invalid.
 
-    The null-safe match keeps an inferred null filter out of the threshold branch, which would cost it
-    the shared shuffle; a missing stock code is never at markdown.
+    The thresholds are written first: their measured size then decides between a broadcast and a shuffled
+    join, and a catalogue that fits a broadcast never costs a shuffle of the lines by product.
     """
-    below = (F.col("price").cast("double") <= F.col("markdown_price")) & F.col("stock_code").isNotNull()
-    at_markdown = F.coalesce(below, F.lit(False))
-    thresholds = markdown_thresholds(history).withColumnRenamed("stock_code", "priced_code")
+    thresholds = materialize(markdown_thresholds(history), "markdown").withColumnRenamed("stock_code", "priced_code")
+    at_markdown = F.coalesce(F.col("price").cast("double") <= F.col("markdown_price"), F.lit(False))
     return (
-        history.join(thresholds, F.col("stock_code").eqNullSafe(F.col("priced_code")), "left")
+        history.join(thresholds, F.col("stock_code") == F.col("priced_code"), "left")
         .withColumn("is_markdown", F.when(~F.col("is_invalid_price"), at_markdown))
         .drop("priced_code", "markdown_price")
     )

@@ -42,7 +42,10 @@ BY_INVOICE, BY_PERIOD, BY_MONTH = 0b0011, 0b0001, 0b0110
 
 
 def customer_rollup(lines: DataFrame, cutoff: datetime) -> DataFrame:
-    """All features but the engagement score, which ranks customers against each other."""
+    """All features but the engagement score, which ranks customers against each other.
+
+    Reads ``lines`` twice, for the price thresholds and for the chain: pass a written table.
+    """
     history = with_markdown_flag(history_rows(lines, cutoff))
     detail = (
         history.withColumn("period", period_of(cutoff))

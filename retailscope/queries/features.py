@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retailscope.config import FEATURE_COLUMNS
 from retailscope.operators import features, validate
 from retailscope.queries.inputs import (
-    CONFIG, build_features, cutoff, feature_table, history_input, lines, returning, rounded,
+    CONFIG, build_features, feature_table, history_input, returning, rounded,
 )
 from retailscope.queries.sqltext import AFFINITY_COLUMNS, FEATURE_DOUBLES, rounded_sql, statement
 from retailscope.sources import star_schema
@@ -47,8 +47,8 @@ def engagement_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def churn_label(spark: SparkSession, folder: str) -> DataFrame:
-    moment = cutoff(spark, folder)
-    customers = features.history_rows(lines(spark, folder, until=moment), moment).select("customer_id").distinct()
+    history, moment = history_input(spark, folder)
+    customers = features.history_rows(history, moment).select("customer_id").distinct()
     return features.label_churn(customers, returning(spark, folder, moment))
 
 

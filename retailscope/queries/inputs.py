@@ -34,9 +34,15 @@ def written_once(label: str, spark: SparkSession, folder: str, build) -> DataFra
     return _written[key]
 
 
+_cutoffs: dict[tuple[str, str], datetime] = {}
+
+
 def cutoff(spark: SparkSession, folder: str) -> datetime:
-    dates = star_schema.invoice_dates(spark, folder)
-    return features.cutoff_date(dates, CONFIG.churn_window_days).first()["cutoff_date"]
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _cutoffs:
+        dates = star_schema.invoice_dates(spark, folder)
+        _cutoffs[key] = features.cutoff_date(dates, CONFIG.churn_window_days).first()["cutoff_date"]
+    return _cutoffs[key]
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,8 +57,10 @@ def lines(spark: SparkSession, folder: str, until: datetime | None = None) -> Da
 
 
 def history_input(spark: SparkSession, folder: str) -> tuple[DataFrame, datetime]:
+    """Cleaned lines up to the cutoff, written once: features read a cleaned table, not raw lines."""
     moment = cutoff(spark, folder)
-    return lines(spark, folder, until=moment), moment
+    cleaned = written_once("cleaned-history", spark, folder, lambda: lines(spark, folder, until=moment))
+    return cleaned, moment
 
 
 def returning(spark: SparkSession, folder: str, moment: datetime) -> DataFrame:
@@ -88,8 +96,18 @@ def wide_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns at the output edge, so equal results compare equal across engines."""
-    changed = {n: F.round(F.col(n), digits) for n, t in df.dtypes if t == "double"}
+    """Round double columns at the output edge, so equal results compare equal across engines.
+
+    Scales, rounds half away from zero and scales back in doubles, as the checking engine does; rounding
+    the decimal text instead would differ on values that end exactly in a half.
+    """
+    scale = float(10**digits)
+
+    def edge(name: str):
+        steps = F.floor(F.abs(name) * scale + 0.5).cast("double")
+        return F.when(F.col(name) < 0, -steps).otherwise(steps) / scale + 0.0
+
+    changed = {n: edge(n) for n, t in df.dtypes if t == "double"}
     return df.withColumns(changed) if changed else df
 
 
