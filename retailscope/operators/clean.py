@@ -80,21 +80,18 @@ def flag_price_quantity_outliers(df: DataFrame, multiplier: float = 1.5) -> Data
 
 def tidy_text(text: Column) -> Column:
     """Strip, upper-case and collapse white space, non-breaking spaces included."""
-    stripped = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    return F.regexp_replace(F.upper(stripped), r"(?U)\s+", " ")
+    return F.upper(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")))
 
 
 def canonical_descriptions(df: DataFrame) -> DataFrame:
     """The most frequent tidy description per stock code; ties go to the alphabetically first.
 
-    The text is counted first, so a hot stock code reaches its pick as distinct texts, not rows.
+    Texts are counted as they are first, so tidying runs once per distinct text and a hot stock code
+    reaches its pick as distinct texts, not rows.
     """
-    tidy = df.select("stock_code", tidy_text(F.col("description")).alias("text"))
-    counted = (
-        tidy.where(F.col("stock_code").isNotNull() & F.col("text").isNotNull())
-        .groupBy("stock_code", "text")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    known = F.col("stock_code").isNotNull() & F.col("description").isNotNull()
+    texts = df.where(known).groupBy("stock_code", "description").agg(F.count(F.lit(1)).alias("n"))
+    counted = texts.groupBy("stock_code", tidy_text(F.col("description")).alias("text")).agg(F.sum("n").alias("n"))
     return counted.groupBy("stock_code").agg(
         F.min(F.struct((-F.col("n")).alias("rank"), F.col("text"))).getField("text").alias("canonical")
     )
