@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retailscope.config import DEDUP_COLUMNS, NON_PRODUCT_CODES, RunConfig
 from retailscope.functions.ranks import exact_quantiles
+from retailscope.sources.shared import materialize
 
 OUTLIER_COLUMNS = ("quantity", "price")
 
@@ -57,9 +58,14 @@ def iqr_bounds(df: DataFrame, multiplier: float = 1.5) -> DataFrame:
     )
 
 
-def flag_price_quantity_outliers(df: DataFrame, multiplier: float = 1.5) -> DataFrame:
-    """Flag values outside the global fences; a missing price is no outlier, a missing quantity is unknown."""
-    bounds = iqr_bounds(df, multiplier)
+def flag_price_quantity_outliers(
+    df: DataFrame, multiplier: float = 1.5, bounds: DataFrame | None = None
+) -> DataFrame:
+    """Flag values outside the global fences; a missing price is no outlier, a missing quantity is unknown.
+
+    ``bounds`` may hold fences taken from another table than ``df``.
+    """
+    bounds = iqr_bounds(df, multiplier) if bounds is None else bounds
     fences = bounds.agg(
         F.struct(
             *[
@@ -98,9 +104,14 @@ def canonical_descriptions(df: DataFrame) -> DataFrame:
 
 
 def standardize_descriptions(df: DataFrame) -> DataFrame:
-    """Replace every description by its stock code's canonical one; missing ones are filled too."""
+    """Replace every description by its stock code's canonical one; missing ones are filled too.
+
+    The catalogue is written first, so its measured size decides whether it is broadcast; if so, the
+    lines are never shuffled by product.
+    """
+    catalogue = materialize(canonical_descriptions(df), "catalogue")
     return (
-        df.join(canonical_descriptions(df), "stock_code", "left")
+        df.join(catalogue, "stock_code", "left")
         .withColumn("description", F.coalesce("canonical", tidy_text(F.col("description"))))
         .drop("canonical")
         .select(*df.columns)
@@ -132,13 +143,15 @@ def duplicate_counts(df: DataFrame, subset: Sequence[str] = DEDUP_COLUMNS) -> Da
 
 
 def clean_transactions(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
-    """Every rule in order; quartiles and canonical texts are taken before copies are removed."""
-    return (
-        add_row_flags(df, config.non_product_codes)
-        .transform(flag_price_quantity_outliers, config.iqr_multiplier)
-        .transform(standardize_descriptions)
-        .transform(deduplicate_transactions, config.dedup_columns)
-    )
+    """Every rule; quartiles and canonical texts are taken before copies are removed.
+
+    The flags depend on the signature columns alone, so they are set on the survivors: the wide shuffle
+    of deduplication does not carry them.
+    """
+    bounds = iqr_bounds(df, config.iqr_multiplier)
+    kept = standardize_descriptions(df).transform(deduplicate_transactions, config.dedup_columns)
+    flagged = add_row_flags(kept, config.non_product_codes)
+    return flag_price_quantity_outliers(flagged, config.iqr_multiplier, bounds)
 
 
 def clean_for_features(df: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:

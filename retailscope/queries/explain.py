@@ -11,7 +11,7 @@ from retailscope.operators import explain
 from retailscope.operators.prep import fit_scaler
 from retailscope.operators.score import split_valid
 from retailscope.queries.inputs import feature_table, rounded, scored, scoring_input
-from retailscope.queries.sqltext import WEIGHTS, probability_sql, range_conditions, standard_sql, statement
+from retailscope.queries.sqltext import WEIGHTS, edge_sql, probability_sql, range_conditions, standard_sql, statement
 
 PDP_FEATURES = ("recency_days", "frequency")
 GRID_POINTS = 20
@@ -118,7 +118,7 @@ def curve_sql(feature: str) -> str:
 
 SQL = {
     "linear_shap": statement(("terms",), f"""
-        SELECT customer_id, feature, round(attribution, 6) AS attribution FROM ({ATTRIBUTIONS})"""),
+        SELECT customer_id, feature, {edge_sql('attribution')} AS attribution FROM ({ATTRIBUTIONS})"""),
     "global_importance": statement(("terms",), f"""
         SELECT feature, round(avg(abs(attribution)), 6) AS mean_abs_attribution FROM ({ATTRIBUTIONS}) GROUP BY feature"""),
     "representatives": statement(("scores",), " UNION ALL ".join(

@@ -12,7 +12,7 @@ from retailscope.functions import scorecard
 from retailscope.operators import metrics, prep, score
 from retailscope.queries.inputs import feature_table, rounded, scored, scoring_input
 from retailscope.queries.sqltext import (
-    auc_sql, probability_sql, range_conditions, rounded_sql, standard_sql, statement,
+    auc_sql, edge_sql, probability_sql, range_conditions, standard_sql, statement,
 )
 
 
@@ -139,7 +139,7 @@ SQL = {
         f"SELECT '{c}' AS feature, round({c}_mean, 6) AS mean, round({c}_std, 6) AS std FROM train_scaler"
         for c in SCALE_SENSITIVE_COLUMNS)),
     "scaled_features": statement(("features", "train_scaler"), "SELECT customer_id, " + ", ".join(
-        f"round(CAST({standard_sql(c) if c in SCALE_SENSITIVE_COLUMNS else c} AS DOUBLE), 6) AS {c}"
+        f"{edge_sql(standard_sql(c) if c in SCALE_SENSITIVE_COLUMNS else c)} AS {c}"
         for c in FEATURE_COLUMNS) + " FROM features, train_scaler"),
     "class_weights": statement(("features",), """
         SELECT churned, count(*) AS n_rows, round(sum(count(*)) OVER () / (2.0 * count(*)), 6) AS balanced_weight,

@@ -10,7 +10,7 @@ from retailscope.operators import density, neighbours, segment
 from retailscope.operators.prep import apply_scaler, fit_scaler, stratified_split
 from retailscope.queries.inputs import CONFIG, feature_table, rounded, wide_features, written_once
 from retailscope.queries.sqltext import (
-    AFFINITY_COLUMNS, WIDE_COLUMNS, piece, scaler_piece, standard_sql, statement,
+    AFFINITY_COLUMNS, WIDE_COLUMNS, edge_sql, piece, scaler_piece, standard_sql, statement,
 )
 
 COLUMNS = FEATURE_COLUMNS + AFFINITY_COLUMNS
@@ -172,7 +172,7 @@ piece("split_points", ("features", "splits", "train_scaler_all"), "SELECT custom
 
 SQL = {
     "segmentation_matrix": statement(("matrix",), "SELECT customer_id, " + ", ".join(
-        f"round(z_{c}, 6) AS {c}" for c in WIDE_COLUMNS) + " FROM matrix"),
+        f"{edge_sql(f'z_{c}')} AS {c}" for c in WIDE_COLUMNS) + " FROM matrix"),
     "kmeans_assign": statement(("assigned",), """
         SELECT customer_id, cluster, round(gap, 6) AS squared_distance FROM assigned"""),
     "davies_bouldin": statement(("centroids", "scatter"), f"""

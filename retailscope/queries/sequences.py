@@ -58,21 +58,22 @@ piece("steps", ("stepped",), """
 
 SQL = {
     "purchase_sequences": statement(("steps",), """
-        SELECT customer_id, step, round(amount, 6) AS amount, gap_days, category_code, target FROM steps"""),
+        SELECT customer_id, step, round(amount, 6) + 0.0::DOUBLE AS amount, gap_days, category_code, target FROM steps"""),
     "padded_sequences": statement(("steps",), f"""
-        SELECT customer_id, CAST(least(n, {MAX_LEN}) AS INTEGER) AS length, target, CAST(p AS INTEGER) AS position,
-               round(coalesce(amount, 0), 6) AS amount, coalesce(gap_days, 0) AS gap_days,
+        SELECT c.customer_id, CAST(least(n, {MAX_LEN}) AS INTEGER) AS length, target, CAST(p AS INTEGER) AS position,
+               round(coalesce(amount, 0), 6) + 0.0::DOUBLE AS amount, coalesce(gap_days, 0) AS gap_days,
                coalesce(category_code, 0) AS category_code
         FROM (SELECT customer_id, count(*) AS n, any_value(target) AS target FROM steps GROUP BY customer_id) AS c
         CROSS JOIN range({MAX_LEN}) AS g(p)
         LEFT JOIN (SELECT customer_id, step, amount, gap_days, category_code FROM steps) AS s
-             ON s.customer_id = c.customer_id AND s.step = p + 1""".replace("SELECT customer_id, CAST(least", "SELECT c.customer_id, CAST(least")),
+             ON s.customer_id = c.customer_id AND s.step = p + 1"""),
     "timing_baseline": statement(("steps", "splits"), """
+        SELECT * FROM (
         WITH targets AS (SELECT customer_id, target, split FROM steps JOIN splits USING (customer_id) WHERE step = 1),
              m AS (SELECT quantile_cont(target, 0.5) AS median_gap FROM targets WHERE split = 'train')
         SELECT count(*) AS n_rows, round(avg(abs(median_gap - target)), 6) AS mae,
                round(sqrt(avg((median_gap - target) * (median_gap - target))), 6) AS rmse,
                round(1 - avg((median_gap - target) * (median_gap - target)) / var_pop(target), 6) AS r2,
                round(any_value(median_gap), 6) AS median_gap
-        FROM targets, m WHERE split = 'val'""").replace("WITH targets AS", "SELECT * FROM (WITH targets AS") + ")",
+        FROM targets, m WHERE split = 'val')"""),
 }

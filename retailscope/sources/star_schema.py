@@ -64,18 +64,19 @@ def transactions(
         orders = orders.where(F.expr(f"o_orderdate >= TIMESTAMP_NTZ'{days_from}'"))
     if days_to is not None:
         orders = orders.where(F.expr(f"o_orderdate <= TIMESTAMP_NTZ'{days_to}'"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     rules = {c: F.expr(rule) for c, rule in LINE_RULES.items() if c in columns}
-    if "description" in columns:
-        parts = read_table(spark, folder, "part").select("p_partkey", "p_name")
-        joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
-        rules["description"] = F.expr(DESCRIPTION_RULE)
     if "country" in columns:
+        # attach homes to orders, not to the far more numerous lines
         nations = read_table(spark, folder, "nation").select("n_nationkey", "n_name")
         customers = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
         homes = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        joined = joined.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left")
+        orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left")
         rules["country"] = F.col("n_name")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    if "description" in columns:
+        parts = read_table(spark, folder, "part").select("p_partkey", "p_name")
+        joined = joined.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        rules["description"] = F.expr(DESCRIPTION_RULE)
     if "source_sheet" in columns:
         rules["source_sheet"] = F.expr(
             f"CASE WHEN {LINE_RULES['invoice_date']} < TIMESTAMP_NTZ'{SHEET_SPLIT}' THEN 'A' ELSE 'B' END"
