@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import product
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailscope.functions.blocks import compare_blocks, pack, squared_distances
@@ -28,12 +28,13 @@ def distinct_points(df: DataFrame, row_id: str, columns: Sequence[str]) -> tuple
     return points, members.select("row_id", "id")
 
 
-def cell_of(eps: float, axes: Sequence[int], shift: Sequence[int] | None = None):
-    """The grid cell of a point along the chosen axes, as a key."""
+def cell_of(eps: float, axes: Sequence[int], shift: Sequence[int] | None = None) -> Column:
+    """The grid cell of a point along the chosen axes, as a hashed key.
+
+    Cells that share a hash only add candidates, which the distance test rejects.
+    """
     shift = shift or [0] * len(axes)
-    return F.concat_ws(
-        ",", *[(F.floor(F.col("vector")[a] / eps) + s).cast("string") for a, s in zip(axes, shift)]
-    )
+    return F.xxhash64(*[F.floor(F.col("vector")[a] / eps) + F.lit(s).cast("bigint") for a, s in zip(axes, shift)])
 
 
 def compare_near(points: DataFrame, eps: float, axes: Sequence[int], payload: Sequence[str], handle, schema: str) -> DataFrame:
@@ -44,7 +45,7 @@ def compare_near(points: DataFrame, eps: float, axes: Sequence[int], payload: Se
     """
     data = points.withColumn("cell", cell_of(eps, axes))
     shifts = [cell_of(eps, axes, s) for s in product((-1, 0, 1), repeat=len(axes))]
-    asked = points.withColumn("cell", F.explode(F.array(*shifts))).join(
+    asked = points.withColumn("cell", F.explode(F.array_distinct(F.array(*shifts)))).join(
         data.select("cell").distinct(), "cell", "left_semi"
     )
     return compare_blocks(
