@@ -116,7 +116,11 @@ def compute_purchase_trend(lines: DataFrame, cutoff: datetime) -> DataFrame:
 
 
 def slope(y: Column, x: Column) -> Column:
-    return F.coalesce(F.regr_slope(y.cast("double"), x.cast("double")), F.lit(0.0))
+    """Least-squares slope of integer columns, from exact integer sums; zero without spread in ``x``."""
+    n, sum_x, sum_y = F.count(x), F.sum(x), F.sum(y)
+    rise = n * F.sum(x * y) - sum_x * sum_y
+    run = n * F.sum(x * x) - sum_x * sum_x
+    return F.coalesce(F.when(run != 0, rise / run), F.lit(0.0))
 
 
 def sample_variance(n: Column, total: Column, squares: Column) -> Column:
