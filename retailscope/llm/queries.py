@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from retailscope.llm.common import documents
+from retailscope.llm.decontaminate import contamination, decontaminate
 from retailscope.llm.exact_dedup import exact_dedup
 from retailscope.llm.mixing import mix
+from retailscope.llm.simhash import simhash_groups
 from retailscope.llm.token_counts import count_tokens
 from retailscope.llm.token_shards import token_shards
 from retailscope.llm.url_filter import BLOCKED_WORDS, judge_urls
@@ -16,6 +18,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(decontaminate(documents(spark, sf_dir), benchmark))
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(documents(spark, sf_dir))
 
@@ -32,12 +39,18 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_token_shards": op4_token_shards,
     "op5_token_counts": op5_token_counts,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
 EXACT_DEDUP_SQL = """
@@ -46,6 +59,29 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+DECONTAMINATION_SQL = r"""
+WITH documents_ AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+starts AS (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM starts),
+places AS (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM documents_, (SELECT DISTINCT size FROM phrases) WHERE len(w) >= size),
+windows AS (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM places),
+hits AS (SELECT doc_id, i, size, item_id FROM windows JOIN phrases USING (size, phrase)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents_ LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 MIXING_SQL = r"""
 WITH rows_ AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -110,6 +146,7 @@ FROM ruled
 
 SQL = {
     "op1_exact_dedup": EXACT_DEDUP_SQL,
+    "op3_decontamination": DECONTAMINATION_SQL,
     "op7_mixing": MIXING_SQL,
     "op8_url_filter": URL_SQL,
 }
