@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from retailscope.llm.common import documents
 from retailscope.llm.decontaminate import contamination, decontaminate
 from retailscope.llm.exact_dedup import exact_dedup
+from retailscope.llm.langid import identify_languages, in_fold
 from retailscope.llm.mixing import mix
+from retailscope.llm.quality import score_quality
 from retailscope.llm.simhash import simhash_groups
 from retailscope.llm.token_counts import count_tokens
 from retailscope.llm.token_shards import token_shards
@@ -31,6 +33,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).drop("copies")
 
@@ -39,6 +45,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = in_fold("doc_id", 3, 1)
+    found = identify_languages(docs, docs.where(~held_out))
+    return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
@@ -48,8 +61,10 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_token_shards": op4_token_shards,
     "op5_token_counts": op5_token_counts,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_mixing": op7_mixing,
     "op8_url_filter": op8_url_filter,
+    "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
