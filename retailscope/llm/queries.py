@@ -10,6 +10,7 @@ from retailscope.llm.exact_dedup import exact_dedup
 from retailscope.llm.langid import identify_languages, in_fold
 from retailscope.llm.mixing import mix
 from retailscope.llm.quality import score_quality
+from retailscope.llm.secret_scan import scan_secrets, secret_report
 from retailscope.llm.simhash import simhash_groups
 from retailscope.llm.token_counts import count_tokens
 from retailscope.llm.token_shards import token_shards
@@ -20,6 +21,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(scan_secrets(documents(spark, sf_dir)))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(decontaminate(documents(spark, sf_dir), benchmark))
@@ -58,6 +63,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op4_token_shards": op4_token_shards,
     "op5_token_counts": op5_token_counts,
