@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailscope.sources.shared import shared_folder
+from retailscope.sources.shared import materialize, shared_folder
 
 HOT_GROUPS = 1000
 
@@ -57,3 +57,18 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     stay = rows.join(few, key)
     move = rows.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti")
     return stay.unionByName(move.join(groups.where(~hot).hint("merge"), key))
+
+
+def without_repeats(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is among ``ids``, one for each; null is a key like others.
+
+    Rows that repeat a key are one document, of which any row stays.
+    """
+    counted = materialize(ids.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "kept-ids").withColumnRenamed(key, "kept_key")
+
+    def among(keys: DataFrame) -> DataFrame:
+        return docs.join(keys, F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
+
+    repeated = counted.where("n > 1")
+    once = among(counted.where("n = 1"))
+    return once if repeated.isEmpty() else once.unionByName(among(repeated).dropDuplicates([key]))

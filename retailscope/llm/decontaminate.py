@@ -14,7 +14,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailscope.llm.common import only_named, whole_text
@@ -138,8 +138,8 @@ def searched(texts: list[bytes], phrases: Phrases) -> list[tuple[int, list[tuple
 FOUND = "n_words bigint, spans array<struct<from:int,to:int>>, items array<string>"
 
 
-def find_phrases(texts: DataFrame, phrases: Phrases) -> DataFrame:
-    """Add ``found`` (FOUND) to a table with ``text``."""
+def find_phrases(texts: Column, phrases: Phrases) -> Column:
+    """What texts that are never null hold of the phrases (FOUND)."""
 
     def find(column: pa.Array) -> pa.Array:
         rows = searched(column.cast(pa.binary()).to_pylist(), phrases)
@@ -151,7 +151,7 @@ def find_phrases(texts: DataFrame, phrases: Phrases) -> DataFrame:
             ]),
         )
 
-    return texts.withColumn("found", F.arrow_udf(find, FOUND)("text"))
+    return F.arrow_udf(find, FOUND)(texts)
 
 
 def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int) -> list[Phrases]:
@@ -170,26 +170,27 @@ def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, blo
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     item_id_column: str = "item_id", item_text_column: str = "text", block_bytes: int = BLOCK_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, text, n_words, spans, items), one row per input row, without moving a document.
+    """(doc_id, n_words, spans, items), one row per input row, without moving a document.
 
+    With ``keep``, those input columns instead of the id.
     ``spans`` are the merged stretches of words (positions from 0, end exclusive) inside any occurrence
     of a benchmark phrase, ``items`` the sorted ids, as text, of the items whose phrases occur. Null and
     empty texts have no words and no spans; an empty benchmark finds nothing; items with equal ids count
     once; repeated documents are judged alike. ``without_spans`` cuts the spans out of a text. A
     benchmark beyond ``block_bytes`` is searched in several passes over the same rows.
     """
-    rows = only_named(docs, doc_id=id_column, text=text_column).select("doc_id", whole_text().alias("text"))
     blocks = benchmark_blocks(benchmark, item_id_column, item_text_column, block_bytes)
-    columns = []
-    for number, phrases in enumerate(blocks):
-        columns.append(f"found_{number}")
-        rows = find_phrases(rows, phrases).withColumnRenamed("found", columns[-1])
-    spans = F.array_sort(F.flatten(F.array(*[F.col(f"{c}.spans") for c in columns])))
-    if len(columns) > 1:
+    carried = [F.col(c) for c in keep] or [F.col(id_column).alias("doc_id")]
+    names = list(keep) or ["doc_id"]
+    found = [find_phrases(whole_text(text_column), phrases).alias(f"found_{b}") for b, phrases in enumerate(blocks)]
+    rows = docs.select(*carried, *found)
+    spans = F.array_sort(F.flatten(F.array(*[F.col(f"found_{b}.spans") for b in range(len(blocks))])))
+    if len(blocks) > 1:
         spans = merged(spans)
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{c}.items") for c in columns]))))
-    return rows.select("doc_id", "text", F.col(f"{columns[0]}.n_words").alias("n_words"), spans.alias("spans"), items.alias("items"))
+    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"found_{b}.items") for b in range(len(blocks))]))))
+    return rows.select(*names, F.col("found_0.n_words").alias("n_words"), spans.alias("spans"), items.alias("items"))
 
 
 def merged(spans):

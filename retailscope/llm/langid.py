@@ -8,11 +8,11 @@ cosine. Only sums of fixed length leave a task, whatever the number of texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailscope.llm.common import only_named, whole_text, worker_state
@@ -135,8 +135,8 @@ def fit_prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     }
 
 
-def predict(texts: DataFrame, prototypes: dict[str, np.ndarray], text_column: str = "text") -> DataFrame:
-    """Add ``found`` (lang_pred, score) to a table with a text column that is never null."""
+def predict(texts: Column, prototypes: dict[str, np.ndarray]) -> Column:
+    """(lang_pred, score) of texts that are never null."""
     langs = list(prototypes)
     matrix = np.array([prototypes[l] / max(np.linalg.norm(prototypes[l]), 1e-300) for l in langs]).reshape(len(langs), DIMENSIONS)
 
@@ -154,13 +154,14 @@ def predict(texts: DataFrame, prototypes: dict[str, np.ndarray], text_column: st
         score = np.clip(cosines.max(axis=1), 0.0, 1.0)
         return pa.StructArray.from_arrays([pa.array(named, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
-    return texts.withColumn("found", F.arrow_udf(identify, "lang_pred string, score double")(F.col(text_column)))
+    return F.arrow_udf(identify, "lang_pred string, score double")(texts)
 
 
 def identify_languages(
     docs: DataFrame, training: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, lang_pred, score), one row per row of ``docs``.
+    """(doc_id, lang_pred, score), one row per row of ``docs``; with ``keep``, those input columns instead of the id.
 
     Prototypes come from all rows of ``training`` whose language is not null. Null texts, and texts without
     a letter, are ``und`` with score 0, as is everything when there are no training rows. ``score`` is the
@@ -169,8 +170,10 @@ def identify_languages(
     """
     labelled = only_named(training, lang=lang_column, text=text_column).where(F.col("lang").isNotNull())
     prototypes = fit_prototypes(labelled.select(F.col("lang").cast("string").alias("lang"), whole_text().alias("text")))
-    rows = only_named(docs, doc_id=id_column, text=text_column).select("doc_id", whole_text().alias("text"))
-    return predict(rows, prototypes).select("doc_id", "found.lang_pred", "found.score")
+    carried = [F.col(c) for c in keep] or [F.col(id_column).alias("doc_id")]
+    names = list(keep) or ["doc_id"]
+    found = docs.select(*carried, predict(whole_text(text_column), prototypes).alias("found"))
+    return found.select(*names, "found.lang_pred", "found.score")
 
 
 def in_fold(id_column: str, folds: int, fold: int):

@@ -109,9 +109,12 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
 def mix(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_repeats: int = MOST_REPEATS,
     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken), one row per input row.
 
+    With ``keep``, those input columns, ``copies`` and ``taken`` instead.
+
     ``size`` is the number of words; null text has none. ``copies`` is how often the mix holds the
     document (0 to ``most_repeats``), ``taken`` its words in the mix. Null is a source of its own, after
     all others. Rows that repeat an id share a hash and are taken alike. A source without words has
@@ -136,6 +139,17 @@ def mix(
     cut = thresholds(numbered, targets.where(F.col("source_size") > 0).select("number", "budget"))
     plan = materialize(targets.join(cut, "number", "left"), "mix-plan")
     copies = F.col("passes") + (F.col("hash") < F.coalesce("below", F.lit(0))).cast("bigint")
+    if keep:
+        own = F.struct(
+            F.col(source_column).cast("string").alias("source"), hash_of(F.col(id_column)).alias("hash"),
+            F.regexp_count(whole_text(text_column), F.lit(WORD)).cast("bigint").alias("size"),
+        )
+        marked = docs.select(*[F.col(c) for c in keep], own.alias("own"))
+        plan = plan.select(F.col("source").alias("plan_source"), "passes", "below")
+        copies = F.col("passes") + (F.col("own.hash") < F.coalesce("below", F.lit(0))).cast("bigint")
+        return marked.join(plan, F.col("own.source").eqNullSafe(F.col("plan_source"))).select(
+            *keep, copies.alias("copies"), (copies * F.col("own.size")).alias("taken")
+        )
     return (
         rows.join(plan, rows["source"].eqNullSafe(plan["source"]))
         .withColumn("copies", copies)
