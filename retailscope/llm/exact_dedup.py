@@ -56,7 +56,10 @@ class DigestIndex:
             F.col("doc_id").cast("bigint").alias("doc_id"), F.unhex(F.sha2(whole_text(), 256)).alias("digest")
         )
         rows = materialize(rows, "digests")
-        groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        # written out, else the anti-join would move below the grouping and shuffle every copy of a text
+        groups = materialize(
+            rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "digest-groups"
+        )
         known = self.entries().select("digest").hint("merge")
         fresh = groups.select("digest", "keep_id").join(known, "digest", "left_anti")
         fresh.repartition(self.buckets, "digest").write.insertInto(self.table)
