@@ -36,13 +36,16 @@ def only_named(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(source).alias(name) for name, source in columns.items()])
 
 
-def worker_state(key: object, build: Callable):
-    """An object kept in the Python worker across tasks (vocabularies, caches); ``key`` names it."""
+def worker_state(place: str, key: object, build: Callable):
+    """An object kept in the Python worker across tasks (vocabularies, caches).
+
+    A place holds one object at a time: asking for another ``key`` replaces it.
+    """
     holder = sys.modules.setdefault("retailscope_worker_state", types.ModuleType("retailscope_worker_state"))
     kept = holder.__dict__.setdefault("kept", {})
-    if key not in kept:
-        kept[key] = build()
-    return kept[key]
+    if kept.get(place, (None,))[0] != key:
+        kept[place] = (key, build())
+    return kept[place][1]
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:

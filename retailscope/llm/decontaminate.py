@@ -76,7 +76,7 @@ def search_shard(documents: list[np.ndarray], phrases: Phrases) -> list[tuple[li
     ``documents`` are the symbols of each document's words, 0 for words no item has.
     """
     nothing = [([], []) for _ in documents]
-    starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in documents])])
+    starts = np.concatenate([[0], np.cumsum([len(d) + 1 for d in documents])]).astype(np.int64)
     joined = np.zeros(starts[-1], dtype=np.int64)  # a 0 after every document
     for start, symbols in zip(starts, documents):
         joined[start : start + len(symbols)] = symbols

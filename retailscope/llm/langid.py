@@ -101,7 +101,7 @@ def bundles(texts: list[str], table: np.ndarray, letters: np.ndarray) -> np.ndar
 
 
 def tables() -> tuple[np.ndarray, np.ndarray]:
-    return worker_state("langid", lambda: (letter_symbols(), letter_vectors()))
+    return worker_state("langid", SEED, lambda: (letter_symbols(), letter_vectors()))
 
 
 def fit_prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:

@@ -41,7 +41,7 @@ def count_tokens(
     """
 
     def lengths(texts: pa.Array) -> pa.Array:
-        cache = worker_state(("lengths", vocabulary), lambda: length_cache(vocabulary))
+        cache = worker_state("pieces", ("lengths", vocabulary), lambda: length_cache(vocabulary))
         totals = []
         for group in groups_by_bytes(texts.to_pylist()):
             split = [cut(text) for text in group]

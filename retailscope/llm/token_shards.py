@@ -1,11 +1,12 @@
 """Token ids in training order: fixed-stride binary shards read sequentially from any slot.
 
 Documents are tokenized, ended by the end token and packed one after another into sequences of fixed
-length, partition by partition of the input. Sequences are numbered densely over the whole input, and a
-keyed Feistel permutation with cycle-walking sends each number to its slot in training order. A shard
-holds one range of slots; record ``slot`` lies at byte ``(slot % per_shard) * stride`` of file
-``slot // per_shard``. Two passes read the texts: the first counts, the second writes. Only token ids
-move between machines, once.
+length, partition by partition of the input. A sequence's number is its input partition's base plus its
+place in it; bases are spaced by the most sequences the bytes of any partition can make, so numbers are
+known without a pass that counts tokens. A keyed Feistel permutation with cycle-walking sends each number
+to its slot in training order. A shard holds one range of slots, and its file their records in order, each
+of ``stride`` bytes and led by its slot: a reader finds any slot by bisection and reads on from there.
+Texts are tokenized once and token ids move between machines once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import base64
 import json
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -25,22 +25,27 @@ from pyspark.sql import functions as F
 
 from retailscope.llm.common import fresh_path, only_named, whole_text, worker_state
 from retailscope.llm.pieces import PieceCache, cut, groups_by_bytes, vocabulary_path
-from retailscope.sources.shared import materialize
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_TOKEN = 50256
 SEQUENCE_TOKENS = 1024
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 64 << 20  # no shard is larger
 KEY = 20240607
 ROUNDS = 6
+SLOT, SLOT_BYTES = "<q", 8  # leads every record
 GUARD = b"\n"  # ends every record
+INDEX = -1  # the number of the shard that holds the index instead of records
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Everything a reader needs besides the files; written beside them as JSON."""
+    """Everything a reader needs besides the files; written beside them as JSON.
 
-    sequences: int
+    ``domain`` is the number of slots, ``spacing`` that of one input partition, ``per_shard`` that of a shard.
+    """
+
+    domain: int
+    spacing: int
     sequence_tokens: int
     per_shard: int
     key: int
@@ -49,11 +54,14 @@ class Layout:
 
     @property
     def stride(self) -> int:
-        return 2 * self.sequence_tokens + len(GUARD)
+        return SLOT_BYTES + 2 * self.sequence_tokens + len(GUARD)
 
     @property
     def shards(self) -> int:
-        return -(-self.sequences // self.per_shard)
+        return -(-self.domain // self.per_shard)
+
+    def slots(self, numbers: np.ndarray) -> np.ndarray:
+        return permuted(numbers, self.domain, self.key)
 
 
 def permuted(numbers: np.ndarray, domain: int, key: int) -> np.ndarray:
@@ -83,23 +91,23 @@ def permuted(numbers: np.ndarray, domain: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def id_cache(vocabulary: str) -> PieceCache:
+def piece_encoding(vocabulary: str):
     import public_tokenizers
     import tiktoken
 
     with open(vocabulary_path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    encoding = tiktoken.Encoding("shards", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("shards", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def ids(pieces: list[str]) -> list[bytes]:
-        return [np.array(encoding.encode_ordinary(p), dtype="<u2").tobytes() for p in pieces]
 
-    return PieceCache(ids)
+def id_cache(vocabulary: str) -> PieceCache:
+    encode = piece_encoding(vocabulary)
+    return PieceCache(lambda pieces: [struct.pack(f"<{len(ids)}H", *ids) for ids in map(encode, pieces)])
 
 
 def token_bytes(texts: list[str], vocabulary: str, end_token: int) -> Iterator[bytes]:
     """Each text's ids as little-endian 16-bit numbers, the end token last."""
-    cache = worker_state(("ids", vocabulary), lambda: id_cache(vocabulary))
+    cache = worker_state("pieces", ("shard ids", vocabulary), lambda: id_cache(vocabulary))
     end = struct.pack("<H", end_token)
     for group in groups_by_bytes(texts):
         split = [cut(text) for text in group]
@@ -109,78 +117,66 @@ def token_bytes(texts: list[str], vocabulary: str, end_token: int) -> Iterator[b
         cache.forget_long()
 
 
-def chained(check: int, doc_id: int | None, n_tokens: int) -> int:
-    return zlib.crc32(f"{doc_id},{n_tokens};".encode(), check)
-
-
-def count_pass(rows: DataFrame, vocabulary: str, end_token: int) -> DataFrame:
-    """(doc_id, part, at, n_tokens, check): where each document's tokens start within its partition."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at, check = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            starts, lengths, checks = [], [], []
-            for doc_id, tokens in zip(ids, token_bytes(batch.column("text").to_pylist(), vocabulary, end_token)):
-                n = len(tokens) // 2
-                check = chained(check, doc_id, n)
-                starts.append(at)
-                lengths.append(n)
-                checks.append(check)
-                at += n
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([part] * len(ids), pa.int32()), pa.array(starts, pa.int64()),
-                 pa.array(lengths, pa.int64()), pa.array(checks, pa.int64())],
-                ["doc_id", "part", "at", "n_tokens", "check"],
-            )
-
-    return rows.mapInArrow(count, "doc_id bigint, part int, at bigint, n_tokens bigint, check bigint")
+def most_sequences(rows: DataFrame, sequence_tokens: int) -> tuple[int, int]:
+    """Input partitions, and the most sequences one of them can make: no token is shorter than a byte."""
+    tokens = F.sum(F.octet_length("text").cast("bigint") + 1)
+    sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(tokens.alias("tokens"))
+    row = sizes.agg(F.max("part"), F.max("tokens")).first()
+    return (0, 0) if row[0] is None else (row[0] + 1, -(-row[1] // sequence_tokens))
 
 
-def write_pass(rows: DataFrame, path: str, layout: Layout, parts: dict[int, tuple[int, int]]) -> None:
-    """Write the shard files. ``parts``: first sequence number and check value per input partition.
+def write_records(rows: DataFrame, path: str, layout: Layout) -> None:
+    """Write the shards and, as lines of another, where every document's tokens start.
 
-    A task that is run again on another executor makes the same records. Should a partition hold other
-    rows than when they were counted, the job fails instead of writing a wrong order.
+    A task that is run again on another executor makes the same records. Should the input come in other
+    partitions than when it was measured, so that numbers could clash, the job fails.
     """
     width = 2 * layout.sequence_tokens
     end = struct.pack("<H", layout.end_token)
+    schema = "shard int, slot bigint, record binary"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, check, number, kept = TaskContext.get().partitionId(), 0, None, bytearray()
-        first, expected = parts.get(part, (0, 0))
-        number = first
+        part, at, number, kept = TaskContext.get().partitionId(), 0, 0, bytearray()
+
+        def out(shard, slots, values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int32()), pa.array(slots, pa.int64()), pa.array(values, pa.binary())], ["shard", "slot", "record"]
+            )
 
         def records(data: bytes) -> pa.RecordBatch:
             n = len(data) // width
-            slots = permuted(np.arange(number, number + n), layout.sequences, layout.key)
-            cut_up = [data[i * width : (i + 1) * width] for i in range(n)]
-            return pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array(cut_up, pa.binary())], ["slot", "record"])
+            if number + n > layout.spacing or (part + 1) * layout.spacing > layout.domain:
+                raise RuntimeError(f"input partition {part} grew between measuring and writing; write the input out first")
+            slots = layout.slots(part * layout.spacing + np.arange(number, number + n))
+            led = [struct.pack(SLOT, s) + data[i * width : (i + 1) * width] for i, s in enumerate(slots.tolist())]
+            return out(slots // layout.per_shard, slots, led)
 
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, lines = batch.column("doc_id").to_pylist(), []
             for doc_id, tokens in zip(ids, token_bytes(batch.column("text").to_pylist(), layout.vocabulary, layout.end_token)):
-                check = chained(check, doc_id, len(tokens) // 2)
+                lines.append(f"{'' if doc_id is None else doc_id},{len(tokens) // 2},{part},{at}".encode())
+                at += len(tokens) // 2
                 kept += tokens
                 if len(kept) >= 4 << 20:
                     whole = len(kept) // width * width
                     yield records(bytes(kept[:whole]))
                     number += whole // width
                     del kept[:whole]
-        if check != expected:
-            raise RuntimeError(f"input partition {part} changed between counting and writing; write the input out first")
+            yield out([INDEX] * len(lines), [part] * len(lines), lines)
         if kept:
             kept += end * (-len(kept) % width // 2)
             yield records(bytes(kept))
 
-    shard = F.floor(F.col("slot") / layout.per_shard).cast("int")
+    lanes = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    target = F.when(F.col("shard") == INDEX, layout.shards + F.col("slot") % lanes).otherwise(F.col("shard"))
     (
-        rows.mapInArrow(pack, "slot bigint, record binary")
-        .repartitionById(layout.shards, shard)
-        .sortWithinPartitions("slot")
+        rows.mapInArrow(pack, schema)
+        .repartitionById(layout.shards + lanes, target.cast("int"))
+        .sortWithinPartitions("shard", "slot")
         # the text writer copies the bytes as they are and commits like any Spark output, on any file system
-        .select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", GUARD.decode())
+        .select("shard", F.col("record").cast("string").alias("value"))
+        .write.partitionBy("shard")
+        .option("lineSep", GUARD.decode())
         .option("compression", "none")
         .text(f"{path}/shards")
     )
@@ -196,62 +192,66 @@ def write_shards(
     the place of the first one in the first of its sequences, and the slots of its sequences in reading
     order. The last sequence of an input partition is filled up with end tokens. Null and empty texts are
     a lone end token. Repeated rows are written as often as they come. An empty table makes a layout
-    without shards. ``docs`` must read the same rows in the same partitions twice, as files do; this is
-    checked. The order depends on the files, the size of their splits and ``key``.
+    without shards. The order depends on the files, the size of their splits and ``key``.
     """
     spark = docs.sparkSession
     rows = only_named(docs, doc_id=id_column, text=text_column).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")
     )
-    counted = materialize(count_pass(rows, vocabulary, end_token), "token-counts")
-    last = counted.groupBy("part").agg(
-        F.sum("n_tokens").alias("tokens"), F.max(F.struct(F.col("at") + F.col("n_tokens"), "check")).alias("last")
-    )
-    parts, sequences = {}, 0
-    for row in last.orderBy("part").collect():  # one row per input partition
-        parts[row["part"]] = (sequences, row["last"]["check"])
-        sequences += -(-row["tokens"] // sequence_tokens)
-    layout = Layout(sequences, sequence_tokens, max(1, shard_bytes // (2 * sequence_tokens + 1)), key, vocabulary, end_token)
+    parts, spacing = most_sequences(rows, sequence_tokens)
+    stride = SLOT_BYTES + 2 * sequence_tokens + len(GUARD)
+    layout = Layout(parts * spacing, spacing, sequence_tokens, max(1, shard_bytes // stride), key, vocabulary, end_token)
     spark.createDataFrame([(json.dumps(asdict(layout)),)], "value string").coalesce(1).write.text(f"{path}/layout")
-    if sequences:
-        write_pass(rows, path, layout, parts)
+    fields = "doc_id bigint, n_tokens bigint, part int, at bigint"
+    if layout.domain:
+        write_records(rows, path, layout)
+        index = spark.read.schema(fields).csv(f"{path}/shards/shard={INDEX}")
+    else:
+        index = spark.createDataFrame([], fields)
 
     def slots(part: pa.Array, at: pa.Array, n: pa.Array) -> pa.Array:
-        first = np.array([parts[p][0] for p in part.to_pylist()], dtype=np.int64)
+        first = part.to_numpy(zero_copy_only=False).astype(np.int64) * layout.spacing
         begin, length = at.to_numpy(zero_copy_only=False), n.to_numpy(zero_copy_only=False)
         low = first + begin // sequence_tokens
         count = first + (begin + length - 1) // sequence_tokens + 1 - low
         ends = np.cumsum(count)
         numbers = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count) + np.repeat(low, count)
-        values = pa.array(permuted(numbers, sequences, key), pa.int64())
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(layout.slots(numbers), pa.int64()))
 
     where = F.arrow_udf(slots, "array<bigint>")("part", "at", "n_tokens")
-    return counted.select("doc_id", "n_tokens", (F.col("at") % sequence_tokens).alias("first_token"), where.alias("slots"))
+    return index.select("doc_id", "n_tokens", (F.col("at") % sequence_tokens).alias("first_token"), where.alias("slots"))
 
 
 def read_layout(spark: SparkSession, path: str) -> Layout:
     return Layout(**json.loads(spark.read.text(f"{path}/layout").first()["value"]))
 
 
-def read_sequences(path: str, layout: Layout, slot: int = 0) -> Iterator[np.ndarray]:
-    """Sequences in training order from ``slot`` on, for a trainer: one seek, then sequential reads.
+def read_sequences(path: str, layout: Layout, slot: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, token ids) in training order from ``slot`` on, for a trainer: a bisection, then sequential reads.
 
     ``path`` is a local folder or any URI that pyarrow can open.
     """
     from pyarrow import fs
 
     store, root = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(f"{root}/shards")) if f.base_name.startswith("part-"))
-    while slot < layout.sequences:
-        with store.open_input_file(files[slot // layout.per_shard]) as shard:
-            shard.seek(slot % layout.per_shard * layout.stride)
-            while slot < layout.sequences:
-                record = shard.read(layout.stride)
-                yield np.frombuffer(record[: -len(GUARD)], dtype="<u2")
-                slot += 1
-                if slot % layout.per_shard == 0:
-                    break
+    for number in range(slot // layout.per_shard, layout.shards):
+        folder = fs.FileSelector(f"{root}/shards/shard={number}", allow_not_found=True)
+        for name in sorted(f.path for f in store.get_file_info(folder) if f.base_name.startswith("part-")):
+            with store.open_input_file(name) as shard:
+
+                def slot_at(record: int) -> int:
+                    shard.seek(record * layout.stride)
+                    return struct.unpack(SLOT, shard.read(SLOT_BYTES))[0]
+
+                low, high = 0, shard.size() // layout.stride
+                last = high
+                while low < high:
+                    middle = (low + high) // 2
+                    low, high = (middle + 1, high) if slot_at(middle) < slot else (low, middle)
+                shard.seek(low * layout.stride)
+                for _ in range(low, last):
+                    record = shard.read(layout.stride)
+                    yield struct.unpack_from(SLOT, record)[0], np.frombuffer(record[SLOT_BYTES : -len(GUARD)], dtype="<u2")
 
 
 def token_shards(docs: DataFrame) -> DataFrame:
