@@ -1,9 +1,8 @@
 """Cutting texts where a byte-level BPE tokenizer surely cuts too, and caching the pieces' tokens.
 
 A single space between two characters that are not white space always starts a new pre-token: words,
-numbers and symbols take one space before them and never one inside. A single line break between two
-such characters is a pre-token of its own, and symbols after a letter or digit start one. The tokens of a
-text are therefore those of its pieces, and pieces repeat: each distinct one is encoded once per worker.
+numbers and symbols take one space before them and never one inside. The tokens of a text are therefore
+those of its pieces, and pieces repeat: each distinct one is encoded once while a worker remembers it.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from collections.abc import Callable, Iterable
 
 DOUBLE_SPACE = re.compile(r"\s\s")
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-SYMBOLS = ".,;:!?*%$&#)\""  # no apostrophe, which may belong to a word, and nothing special tokens are made of
 MAX_CACHED = 500_000
 MAX_CACHED_CHARS = 48
 BATCH_BYTES = 1 << 18
@@ -36,29 +34,29 @@ def cut(text: str) -> list[str]:
     return text.split(" ")
 
 
-def parts_of(piece: str) -> list[str]:
-    """A piece cut further, at line breaks and before closing symbols; only the first part keeps its lead."""
-    if "\n" not in piece:
-        return stem_and_symbols(piece)
-    lines = piece.split("\n")
-    if not lines[0] or not lines[-1] or DOUBLE_SPACE.search(piece):
-        return [piece]
-    parts = stem_and_symbols(lines[0])
-    for line in lines[1:]:
-        parts.append("\n")
-        parts += stem_and_symbols(line)
-    return parts
+class EncodedOnce(dict):
+    """What ``encode`` gives for ``lead`` + piece, encoded when first asked for."""
 
+    def __init__(self, encode: Callable[[str], object], lead: str):
+        super().__init__()
+        self.encode, self.lead = encode, lead
 
-def stem_and_symbols(word: str) -> list[str]:
-    stem = word.rstrip(SYMBOLS)
-    return [stem, word[len(stem) :]] if stem != word and stem and stem[-1].isalnum() else [word]
+    def __missing__(self, piece: str):
+        value = self.encode(self.lead + piece)
+        if len(piece) <= MAX_CACHED_CHARS:
+            self[piece] = value
+        return value
 
+    def make_room(self) -> None:
+        """All old pieces go when space runs out."""
+        if len(self) > MAX_CACHED:
+            self.clear()
 
-class PieceCache:
-    """What ``encode`` gives for each distinct piece; values of parts add up to the value of a piece.
 
-    Pieces are encoded in batches of bounded bytes. ``known`` holds pieces led by a space, ``first`` others.
+class EncodedInBatches:
+    """What ``encode`` gives for each distinct piece, for encoders that take many pieces at once.
+
+    Batches are balanced by bytes. ``known`` holds pieces led by a space, ``first`` others.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable]):
@@ -71,27 +69,8 @@ class PieceCache:
         led: set[str] = set()
         for pieces in texts:
             led.update(pieces[1:])
-        plain = {pieces[0] for pieces in texts}
-        compound, new_led, new_plain = [], set(), set()
-        for pieces, target, new in ((led, self.known, new_led), (plain, self.first, new_plain)):
-            for piece in pieces.difference(target):
-                parts = parts_of(piece)
-                new.add(parts[0])
-                if len(parts) > 1:
-                    compound.append((target, piece, parts))
-                    new_plain.update(parts[1:])
-        self._encode_into(self.known, " ", new_led.difference(self.known))
-        self._encode_into(self.first, "", new_plain.difference(self.first))
-        for target, piece, (head, *rest) in compound:
-            value = target[head]
-            for part in rest:
-                value = value + self.first[part]
-            self._keep(target, piece, value)
-
-    def _keep(self, target: dict, piece: str, value) -> None:
-        target[piece] = value
-        if len(piece) > MAX_CACHED_CHARS:
-            self.long.append((target, piece))
+        self._encode_into(self.known, " ", led.difference(self.known))
+        self._encode_into(self.first, "", {pieces[0] for pieces in texts}.difference(self.first))
 
     def _encode_into(self, target: dict, lead: str, pieces: set[str]) -> None:
         batch, size = [], 0
@@ -105,8 +84,8 @@ class PieceCache:
 
     def _encode_batch(self, target: dict, lead: str, batch: list[str]) -> None:
         if batch:
-            for piece, value in zip(batch, self.encode([lead + p for p in batch])):
-                self._keep(target, piece, value)
+            target.update(zip(batch, self.encode([lead + p for p in batch])))
+            self.long += [(target, p) for p in batch if len(p) > MAX_CACHED_CHARS]
 
     def forget_long(self) -> None:
         for target, piece in self.long:

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailscope.llm.common import only_named, whole_text, worker_state
-from retailscope.llm.pieces import PieceCache, cut, groups_by_bytes, vocabulary_path
+from retailscope.llm.pieces import EncodedInBatches, cut, groups_by_bytes, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
 
-def length_cache(vocabulary: str) -> PieceCache:
+def length_cache(vocabulary: str) -> EncodedInBatches:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallelism
     from tokenizers import Tokenizer
 
@@ -26,7 +26,7 @@ def length_cache(vocabulary: str) -> PieceCache:
     def lengths(pieces: list[str]) -> list[int]:
         return [len(e) for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    return PieceCache(lengths)
+    return EncodedInBatches(lengths)
 
 
 def count_tokens(

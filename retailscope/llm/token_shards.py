@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailscope.llm.common import fresh_path, only_named, whole_text, worker_state
-from retailscope.llm.pieces import PieceCache, cut, groups_by_bytes, vocabulary_path
+from retailscope.llm.pieces import EncodedOnce, cut, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_TOKEN = 50256
@@ -91,30 +91,31 @@ def permuted(numbers: np.ndarray, domain: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def piece_encoding(vocabulary: str):
+def id_caches(vocabulary: str) -> tuple[EncodedOnce, EncodedOnce]:
+    """Token ids, as little-endian 16-bit numbers, of pieces at the start of a text and of pieces led by a space."""
     import public_tokenizers
     import tiktoken
 
     with open(vocabulary_path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("shards", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encode = tiktoken.Encoding("shards", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def ids(piece: str) -> bytes:
+        numbers = encode(piece)
+        return struct.pack(f"<{len(numbers)}H", *numbers)
 
-def id_cache(vocabulary: str) -> PieceCache:
-    encode = piece_encoding(vocabulary)
-    return PieceCache(lambda pieces: [struct.pack(f"<{len(ids)}H", *ids) for ids in map(encode, pieces)])
+    return EncodedOnce(ids, ""), EncodedOnce(ids, " ")
 
 
 def token_bytes(texts: list[str], vocabulary: str, end_token: int) -> Iterator[bytes]:
     """Each text's ids as little-endian 16-bit numbers, the end token last."""
-    cache = worker_state("pieces", ("shard ids", vocabulary), lambda: id_cache(vocabulary))
+    first, led = worker_state("pieces", ("shard ids", vocabulary), lambda: id_caches(vocabulary))
     end = struct.pack("<H", end_token)
-    for group in groups_by_bytes(texts):
-        split = [cut(text) for text in group]
-        cache.learn(split)
-        for pieces in split:
-            yield cache.first[pieces[0]] + b"".join(map(cache.known.__getitem__, pieces[1:])) + end
-        cache.forget_long()
+    for text in texts:
+        first.make_room()
+        led.make_room()
+        pieces = cut(text)
+        yield first[pieces[0]] + b"".join(map(led.__getitem__, pieces[1:])) + end
 
 
 def most_sequences(rows: DataFrame, sequence_tokens: int) -> tuple[int, int]:
