@@ -33,7 +33,7 @@ def near_texts(seed, n):
     rows = []
     for i in range(n):
         words = base[draw.randrange(6)].split()
-        for _ in range(draw.randint(0, 12)):
+        for _ in range(draw.randint(0, 4)):
             words[draw.randrange(400)] = draw.choice(["x", "Yy", "zé"])
         rows.append((i, draw.choice([" ", "\n"]).join(words), "", ""))
     return rows

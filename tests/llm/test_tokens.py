@@ -50,12 +50,15 @@ def test_counts(spark, tokenizer, monkeypatch):
 
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "MAX_CACHED", 10)
-    cache = pieces.PieceCache(lambda batch: [len(p) for p in batch])
+    once = pieces.EncodedOnce(len, " ")
+    cache = pieces.EncodedInBatches(lambda batch: [len(p) for p in batch])
     for i in range(50):
         split = [pieces.cut(f"a{i} b{i} c{i} {'z' * 100}")]
         cache.learn(split)
         assert sum(map(cache.known.__getitem__, split[0][1:])) > 0
         cache.forget_long()
+        once.make_room()
+        assert once[f"b{i}"] == len(f" b{i}") and once["z" * 100] == 101 and len(once) <= 11 and "z" * 100 not in once
         assert len(cache.known) < 20 and all(len(p) <= pieces.MAX_CACHED_CHARS for p in cache.known)
 
 
