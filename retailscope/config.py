@@ -50,7 +50,7 @@ class RunConfig:
     non_product_codes: tuple[str, ...] = NON_PRODUCT_CODES
     dedup_columns: tuple[str, ...] = DEDUP_COLUMNS
     max_null_rate: dict[str, float] = field(
-        default_factory=lambda: {"description": 0.02, "customer_id": 0.30}
+        default_factory=lambda: {"description": 0.02, "customer_id": 0.30, "invoice_date": 0.0}
     )
     date_min: str = "2009-12-01"
     date_max: str = "2011-12-10"

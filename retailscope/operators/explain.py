@@ -94,7 +94,7 @@ def plain_language(terms: Mapping[str, Column], values: Mapping[str, Column], to
 
 
 def partial_dependence(
-    rows: DataFrame, scorer: Scorer, feature: str, grid_points: int = 20, low: float = 0.05, high: float = 0.95
+    rows: DataFrame, scorer: Scorer, feature: str, grid_points: int = 100, low: float = 0.05, high: float = 0.95
 ) -> DataFrame:
     """Average score with ``feature`` set to each of ``grid_points`` evenly spaced values.
 
@@ -126,7 +126,7 @@ def sampled_attributions(
     scorer: Scorer,
     features: Sequence[str],
     background: Sequence[Sequence[float]],
-    permutations: int = 8,
+    permutations: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """Shapley attributions of any scorer by permutation sampling.
@@ -134,13 +134,15 @@ def sampled_attributions(
     A walk starts at a background row and switches one feature after another to the customer's value;
     each switch's change in score is credited to its feature. Every walk position is one row to score,
     contributing its score to the feature just switched and, negatively, to the one switched next, so the
-    result is a plain sum per customer and feature. Walks are fixed by ``seed`` and shared by all rows.
+    result is a plain sum per customer and feature. Walks are fixed by ``seed`` and shared by all rows;
+    they start from the background rows in turn, from each once unless ``permutations`` says otherwise.
     """
     generator = np.random.default_rng(seed)
+    permutations = len(background) if permutations is None else permutations
     walks = []
-    for _ in range(permutations):
+    for w in range(permutations):
         order = [int(i) for i in generator.permutation(len(features))]
-        start = [float(v) for v in background[int(generator.integers(len(background)))]]
+        start = [float(v) for v in background[w % len(background)]]
         walks.append((order, start))
     schema = "walk int, step int, switched array<boolean>, start array<double>, credited string, debited string"
     steps = []
@@ -194,7 +196,7 @@ def local_surrogate(
     scorer: Scorer,
     scaler: DataFrame,
     features: Sequence[str],
-    samples: int = 2000,
+    samples: int = 5000,
     top_n: int = 10,
     seed: int = 42,
     ridge: float = 1.0,

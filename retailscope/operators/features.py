@@ -44,22 +44,17 @@ def line_total() -> Column:
     return F.when(~F.col("is_invalid_price"), F.col("quantity") * F.col("price"))
 
 
-def line_cents() -> Column:
-    """The line amount in whole cents: exact, and summed as a machine integer.
-
-    Used for sums per customer; overflow (beyond 9e16 currency units) raises under ANSI mode. Sums over
-    all customers stay in decimals.
-    """
-    cents = (F.col("price") * 100).cast("bigint")
-    return F.when(~F.col("is_invalid_price"), F.col("quantity").cast("bigint") * cents)
+def line_amount() -> Column:
+    """The exact amount of a validly priced line, in a decimal that holds any sum; null otherwise."""
+    return F.when(~F.col("is_invalid_price"), F.col("quantity") * F.col("price")).cast("decimal(38,6)")
 
 
 def period_of(cutoff: datetime) -> Column:
     return F.floor(whole_days(timestamp(cutoff), F.col("invoice_date")) / PERIOD_DAYS).cast("bigint")
 
 
-def currency(cents: Column) -> Column:
-    return F.coalesce(cents / F.lit(100.0), F.lit(0.0))
+def currency(amount: Column) -> Column:
+    return F.coalesce(amount.cast("double"), F.lit(0.0))
 
 
 def compute_rfm(lines: DataFrame, cutoff: datetime) -> DataFrame:
@@ -69,8 +64,8 @@ def compute_rfm(lines: DataFrame, cutoff: datetime) -> DataFrame:
         .groupBy("customer_id", "invoice")
         .agg(
             F.max("invoice_date").alias("last_ts"),
-            F.sum(line_cents()).alias("spend"),
-            F.count(line_cents()).alias("n_amounts"),
+            F.sum(line_amount()).alias("spend"),
+            F.count(line_amount()).alias("n_amounts"),
         )
     )
     return invoices.groupBy("customer_id").agg(
@@ -81,8 +76,8 @@ def compute_rfm(lines: DataFrame, cutoff: datetime) -> DataFrame:
     )
 
 
-def mean_amount(cents: Column, count: Column) -> Column:
-    return F.coalesce(F.when(count > 0, currency(cents) / count), F.lit(0.0))
+def mean_amount(amount: Column, count: Column) -> Column:
+    return F.coalesce(F.when(count > 0, currency(amount) / count), F.lit(0.0))
 
 
 def compute_historical_clv(lines: DataFrame, cutoff: datetime) -> DataFrame:
@@ -91,13 +86,14 @@ def compute_historical_clv(lines: DataFrame, cutoff: datetime) -> DataFrame:
         history_rows(lines, cutoff)
         .where(~F.col("is_invalid_price"))
         .groupBy("customer_id")
-        .agg(currency(F.sum(line_cents())).alias("historical_clv"))
+        .agg(currency(F.sum(line_amount())).alias("historical_clv"))
     )
 
 
 def compute_basket_size(lines: DataFrame, cutoff: datetime) -> DataFrame:
-    """Mean number of lines per invoice."""
-    invoices = history_rows(lines, cutoff).groupBy("customer_id", "invoice").agg(F.count(F.lit(1)).alias("n_lines"))
+    """Mean number of lines per invoice; lines without an invoice belong to none."""
+    named = history_rows(lines, cutoff).where(F.col("invoice").isNotNull())
+    invoices = named.groupBy("customer_id", "invoice").agg(F.count(F.lit(1)).alias("n_lines"))
     return invoices.groupBy("customer_id").agg(F.avg("n_lines").alias("avg_basket_size"))
 
 
@@ -137,6 +133,7 @@ def compute_purchase_interval_variance(lines: DataFrame, cutoff: datetime) -> Da
     """
     starts = (
         history_rows(lines, cutoff)
+        .where(F.col("invoice").isNotNull())
         .groupBy("customer_id", "invoice")
         .agg(F.min("invoice_date").alias("start"))
     )
@@ -160,7 +157,7 @@ def compute_seasonal_concentration(lines: DataFrame, cutoff: datetime) -> DataFr
         history_rows(lines, cutoff)
         .where(~F.col("is_invalid_price"))
         .groupBy("customer_id", F.month("invoice_date").alias("month"))
-        .agg(F.sum(line_cents()).alias("spend"))
+        .agg(F.sum(line_amount()).alias("spend"))
     )
     return months.groupBy("customer_id").agg(
         concentration(F.sum(F.pow(F.col("spend").cast("double"), 2)), F.sum("spend")).alias("seasonal_concentration")
@@ -173,10 +170,7 @@ def concentration(squares: Column, total: Column) -> Column:
 
 
 def top_products(lines: DataFrame, cutoff: datetime, top_n: int = 10, with_invalid_prices: bool = False) -> DataFrame:
-    """The ``top_n`` stock codes by spend with their rank; equal spend keeps the smaller code.
-
-    The reference report takes the top by limit; rank is over at most ``top_n`` rows.
-    """
+    """The ``top_n`` stock codes by spend with their rank; equal spend keeps the smaller code."""
     amount = F.col("quantity") * F.col("price") if with_invalid_prices else line_total()
     rows = history_rows(lines, cutoff)
     if not with_invalid_prices:

@@ -21,7 +21,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +35,7 @@ from retailscope.operators.prep import apply_scaler, class_weights, fit_scaler,
 FOLDS = 5
 SEED = 42
 LABEL = "churned"
-UNLIMITED_DEPTH = 15  # stands for "no depth limit"
+UNLIMITED_DEPTH = 30  # the deepest Spark grows; stands for "no depth limit"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -130,6 +130,7 @@ CLASSIFIERS: dict[str, ModelSpec] = {
 }
 KNN_GRID = {"n_neighbors": [5, 11, 21], "weights": ["uniform", "distance"]}
 KNN_CHOSEN = {"n_neighbors": 21, "weights": "uniform"}
+CLV_GRID = {"n_estimators": [200, 400], "max_depth": [5, 10, None]}
 
 
 def settings(grid: Mapping[str, Sequence[Any]]) -> list[dict[str, Any]]:
@@ -188,23 +189,32 @@ def fit_classifier(
         n_train = ready.count()
         best, score = options[0], None
         if len(options) > 1:
-            scores = [_cross_validate(ready, spec.build(o, n_train), parallelism) for o in options]
-            at = max(range(len(options)), key=lambda i: scores[i])
-            best, score = options[at], scores[at]
-        fitted = spec.build(best, n_train).fit(ready)
+            evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction")
+            at, score, fitted = searched(ready, [spec.build(o, n_train) for o in options], evaluator, FOLDS, parallelism)
+            best = options[at]
+        else:
+            fitted = spec.build(best, n_train).fit(ready)
     finally:
         ready.unpersist()
     return PipelineModel(stages=[*prepared.stages, fitted]), best, score
 
 
-def _cross_validate(rows: DataFrame, estimator: Estimator, parallelism: int) -> float:
-    """Mean ROC AUC of one setting over the folds."""
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction"),
-        numFolds=FOLDS, foldCol="fold", parallelism=parallelism,
-    )
-    return float(validator.fit(rows).avgMetrics[0])
+def searched(
+    rows: DataFrame, estimators: Sequence[Estimator], evaluator, folds: int, parallelism: int = 4
+) -> tuple[int, float, Any]:
+    """Cross-validate estimators of one kind over ``fold`` in a single search.
+
+    Returns the place of the best one, its mean metric and its fit on all rows. Fits of all settings run
+    side by side, ``parallelism`` at a time.
+    """
+    base = estimators[0]
+    maps = [{base.getParam(p.name): v for p, v in e.extractParamMap().items() if e.isSet(p)} for e in estimators]
+    search = CrossValidator(
+        estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism,
+    ).fit(rows)
+    pick = max if evaluator.isLargerBetter() else min
+    at = pick(range(len(maps)), key=lambda i: search.avgMetrics[i])
+    return at, float(search.avgMetrics[at]), search.bestModel
 
 
 def score_with(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -300,7 +310,7 @@ def train_clv_regressor(
     """Random forest for future spend, searched by RMSE over ``fold``; error on the test split."""
     train = rows.where(F.col("split") == "train")
     assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="vector")
-    options = list(grid or [{"n_estimators": 200, "max_depth": 5}])
+    options = list(grid if grid is not None else settings(CLV_GRID))
     ready = assembler.transform(train).persist()
 
     def forest(o: Mapping[str, Any]) -> RandomForestRegressor:
@@ -313,15 +323,10 @@ def train_clv_regressor(
         best = options[0]
         if len(options) > 1:
             evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
-            errors = [
-                CrossValidator(
-                    estimator=forest(o), estimatorParamMaps=ParamGridBuilder().build(), evaluator=evaluator,
-                    numFolds=folds, foldCol="fold",
-                ).fit(ready).avgMetrics[0]
-                for o in options
-            ]
-            best = options[min(range(len(options)), key=lambda i: errors[i])]
-        model = PipelineModel(stages=[assembler, forest(best).fit(ready)])
+            _, _, fitted = searched(ready, [forest(o) for o in options], evaluator, folds)
+        else:
+            fitted = forest(best).fit(ready)
+        model = PipelineModel(stages=[assembler, fitted])
     finally:
         ready.unpersist()
     judged = model.transform(rows.where(F.col("split") == "test"))

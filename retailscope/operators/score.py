@@ -30,19 +30,23 @@ def row_failures() -> Column:
             checks.append(message(value < low, f"{c} must be at least {low:g}"))
         if high is not None:
             checks.append(message((value > high) & ~F.isnan(value), f"{c} must be at most {high:g}"))
-    return F.filter(F.array(*checks), lambda m: m.isNotNull())
+    broken = F.filter(F.array(*checks), lambda m: m.isNotNull())
+    # a row whose fields all pass can still have had too many of them
+    malformed = (F.size(broken) == 0) & F.col("corrupt_record").isNotNull()
+    return F.when(malformed, F.array(F.lit("row is malformed"))).otherwise(broken)
 
 
 def with_missing_columns(rows: DataFrame) -> DataFrame:
     """A column the input lacks is a missing value in every row, not a failed batch."""
     absent = [c for c in ("customer_id", *FEATURE_COLUMNS) if c not in rows.columns]
-    return rows.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else rows
+    rows = rows.withColumns({c: F.lit(None).cast("double") for c in absent}) if absent else rows
+    return rows if "corrupt_record" in rows.columns else rows.withColumn("corrupt_record", F.lit(None).cast("string"))
 
 
 def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows fit to score, rows to quarantine with ``reasons``)."""
     checked = with_missing_columns(rows).withColumn("reasons", row_failures())
-    good = checked.where(F.size("reasons") == 0).drop("reasons")
+    good = checked.where(F.size("reasons") == 0).drop("reasons", "corrupt_record")
     return good, checked.where(F.size("reasons") > 0)
 
 

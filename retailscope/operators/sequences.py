@@ -34,6 +34,7 @@ def customer_orders(lines: DataFrame, cutoff: datetime, max_products: int = 10)
     )
     coded = (
         history_rows(lines, cutoff)
+        .where(F.col("invoice").isNotNull())
         .join(F.broadcast(top), F.col("stock_code") == F.col("top_code"), "left")  # max_products rows
         .withColumn("category", F.coalesce("category", F.lit(float(max_products))))
     )
@@ -99,11 +100,17 @@ def purchase_sequences(lines: DataFrame, cutoff: datetime, max_products: int = 1
     ).select("customer_id", "step", *STEP_FIELDS, F.col("last_gap").alias("target"))
 
 
-def padded_sequences(steps: DataFrame, max_len: int) -> DataFrame:
-    """The first ``max_len`` steps per customer as an array padded with zero steps, and the real length.
+def longest(steps: DataFrame) -> int:
+    return steps.agg(F.max("step")).first()[0] or 0
 
-    Steps beyond ``max_len`` are cut before they are gathered, so every array is bounded.
+
+def padded_sequences(steps: DataFrame, max_len: int | None = None) -> DataFrame:
+    """Steps per customer as an array padded with zero steps to one length, and the real length.
+
+    The length is that of the longest sequence, or ``max_len``: steps beyond it are then cut before they
+    are gathered, which bounds the arrays where one customer has far more orders than others.
     """
+    max_len = longest(steps) if max_len is None else max_len
     zero = F.struct(*[F.lit(0.0).alias(f) for f in STEP_FIELDS])
     gathered = (
         steps.where(F.col("step") <= max_len)

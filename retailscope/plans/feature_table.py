@@ -25,7 +25,7 @@ from retailscope.operators.features import (
     future_customers,
     history_rows,
     label_churn,
-    line_cents,
+    line_amount,
     mean_amount,
     period_of,
     sample_variance,
@@ -39,6 +39,7 @@ SUMS = ("n_lines", "n_flagged", "n_returns", "n_amounts", "n_priced", "n_markdow
 
 # grouping_id() of each grouping set below, over (customer_id, invoice, period, month).
 BY_INVOICE, BY_PERIOD, BY_MONTH = 0b0011, 0b0001, 0b0110
+NO_INVOICE = 0b1111  # the lines of a customer that belong to no invoice: money, but no order
 
 
 def customer_rollup(lines: DataFrame, cutoff: datetime) -> DataFrame:
@@ -55,10 +56,10 @@ def customer_rollup(lines: DataFrame, cutoff: datetime) -> DataFrame:
             F.count(F.lit(1)).alias("n_lines"),
             F.count("is_return").alias("n_flagged"),
             F.count_if("is_return").alias("n_returns"),
-            F.count(line_cents()).alias("n_amounts"),
+            F.count(line_amount()).alias("n_amounts"),
             F.count("is_markdown").alias("n_priced"),
             F.count_if("is_markdown").alias("n_markdowns"),
-            F.sum(line_cents()).alias("spend"),
+            F.sum(line_amount()).alias("spend"),
             F.min("invoice_date").alias("first_ts"),
             F.max("invoice_date").alias("last_ts"),
         )
@@ -72,13 +73,16 @@ def customer_rollup(lines: DataFrame, cutoff: datetime) -> DataFrame:
         F.min("first_ts").alias("first_ts"),
         F.max("last_ts").alias("last_ts"),
     )
+    orderless = (F.col("level") == BY_INVOICE) & F.col("invoice").isNull()
+    levels = levels.withColumn("level", F.when(orderless, NO_INVOICE).otherwise(F.col("level")))
     slot = (
-        F.when(F.col("level") == BY_INVOICE, F.unix_date(F.to_date("first_ts")))
+        F.when(F.col("level") == NO_INVOICE, 0)
+        .when(F.col("level") == BY_INVOICE, F.unix_date(F.to_date("first_ts")))
         .when(F.col("level") == BY_PERIOD, F.col("period"))
         .otherwise(F.col("month"))
     )
     slots = levels.groupBy("customer_id", "level", slot.alias("slot")).agg(
-        F.count(F.lit(1)).alias("n_groups"),
+        F.count("invoice").alias("n_groups"),
         *[F.sum(c).alias(c) for c in SUMS],
         F.min("first_ts").alias("first_start"),
         F.max("first_ts").alias("last_start"),
@@ -93,19 +97,22 @@ def customer_rollup(lines: DataFrame, cutoff: datetime) -> DataFrame:
         return F.when(F.col("level") == level, value)
 
     def total(name: str) -> Column:
-        return F.sum(on(BY_INVOICE, F.col(name)))
+        return F.sum(F.when(F.col("level").isin(BY_INVOICE, NO_INVOICE), F.col(name)))
+
+    def invoiced(name: str) -> Column:
+        return F.coalesce(F.sum(on(BY_INVOICE, F.col(name))), F.lit(0))
 
     month_squares = F.sum(on(BY_MONTH, F.pow(F.col("spend").cast("double"), 2)))
     return spaced.groupBy("customer_id").agg(
-        whole_days(timestamp(cutoff), F.max(on(BY_INVOICE, F.col("last_ts")))).alias("recency_days"),
-        total("n_groups").alias("frequency"),
+        whole_days(timestamp(cutoff), F.max("last_ts")).alias("recency_days"),
+        invoiced("n_groups").alias("frequency"),
         currency(total("spend")).alias("monetary_total"),
         mean_amount(total("spend"), total("n_amounts")).alias("monetary_avg"),
         currency(total("spend")).alias("historical_clv"),
-        (total("n_lines") / total("n_groups")).alias("avg_basket_size"),
+        share(invoiced("n_lines"), invoiced("n_groups")).alias("avg_basket_size"),
         slope(on(BY_PERIOD, F.col("n_groups")), on(BY_PERIOD, -F.col("slot"))).alias("purchase_trend_slope"),
         sample_variance(
-            total("n_groups") - 1, F.sum("gap"), F.sum(F.col("gap") * F.col("gap"))
+            invoiced("n_groups") - 1, F.sum("gap"), F.sum(F.col("gap") * F.col("gap"))
         ).alias("purchase_interval_variance"),
         concentration(month_squares, total("spend")).alias("seasonal_concentration"),
         share(total("n_returns"), total("n_flagged")).alias("return_rate"),

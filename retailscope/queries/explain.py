@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from retailscope.operators.score import split_valid
 from retailscope.queries.inputs import feature_table, rounded, scored, scoring_input
 from retailscope.queries.sqltext import WEIGHTS, edge_sql, probability_sql, range_conditions, standard_sql, statement
 
-PDP_FEATURES = ("recency_days", "frequency")
-GRID_POINTS = 20
+PDP_FEATURES = FEATURE_COLUMNS
+GRID_POINTS = 100
 
 
 def scorer(spark: SparkSession, folder: str):
@@ -57,7 +59,7 @@ def explanations(spark: SparkSession, folder: str) -> DataFrame:
 def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
     rows = valid_features(spark, folder).select("customer_id", *FEATURE_COLUMNS)
     curves = [explain.partial_dependence(rows, scorer(spark, folder), f, GRID_POINTS) for f in PDP_FEATURES]
-    return rounded(curves[0].unionByName(curves[1]))
+    return rounded(reduce(DataFrame.unionByName, curves))
 
 
 def sampled_shap(spark: SparkSession, folder: str) -> DataFrame:

@@ -104,7 +104,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     scale = float(10**digits)
 
     def edge(name: str):
-        steps = F.floor(F.abs(name) * scale + 0.5).cast("double")
+        scaled = F.abs(name) * scale
+        # beyond 2 ** 52 a double has no fraction left, and a 64-bit floor would saturate
+        steps = F.when(scaled < 2.0**52, F.floor(scaled + 0.5).cast("double")).otherwise(scaled)
         return F.when(F.col(name) < 0, -steps).otherwise(steps) / scale + 0.0
 
     changed = {n: edge(n) for n, t in df.dtypes if t == "double"}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retailscope.config import DEDUP_COLUMNS, FEATURE_COLUMNS
 from retailscope.functions.timeparts import timestamp
 from retailscope.operators import clean, metrics, models, sequences
-from retailscope.operators.features import currency, line_cents
+from retailscope.operators.features import currency, line_amount
 from retailscope.operators.prep import apply_scaler, fit_scaler, stratified_folds, stratified_split
 from retailscope.queries.inputs import CONFIG, cutoff, feature_table, rounded, written_once
 from retailscope.queries import segments  # noqa: F401  (defines the split_points piece)
@@ -65,9 +65,12 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cv_search(spark: SparkSession, folder: str) -> DataFrame:
-    """The full logistic-regression grid over the five folds."""
-    grid = models.settings(models.CLASSIFIERS["logistic_regression"].grid)
-    return models.train_and_log(split_rows(spark, folder), "logistic_regression", grid)[1]
+    """The full grids of logistic regression and the decision tree over the five folds."""
+    logs = [
+        models.train_and_log(split_rows(spark, folder), name, models.settings(models.CLASSIFIERS[name].grid))[1]
+        for name in ("logistic_regression", "decision_tree")
+    ]
+    return logs[0].unionByName(logs[1])
 
 
 def future_spend(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,7 +85,7 @@ def future_spend(spark: SparkSession, folder: str) -> DataFrame:
     return (
         lines.where(inside & F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(currency(F.sum(line_cents())).alias("future_spend"))
+        .agg(currency(F.sum(line_amount())).alias("future_spend"))
     )
 
 

@@ -76,12 +76,12 @@ def segment_assign(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def kmeans(spark: SparkSession, folder: str) -> DataFrame:
-    clusters = segment.run_kmeans(scaled_matrix(spark, folder), COLUMNS, k=7, n_init=2, seed=CONFIG.seed)
+    clusters = segment.run_kmeans(scaled_matrix(spark, folder), COLUMNS, k=7, n_init=10, seed=CONFIG.seed)
     return clusters.select("customer_id", "cluster")
 
 
 def optimal_k(spark: SparkSession, folder: str) -> DataFrame:
-    return segment.find_optimal_k(scaled_matrix(spark, folder), COLUMNS, CONFIG.segment_counts, n_init=1)
+    return segment.find_optimal_k(scaled_matrix(spark, folder), COLUMNS, CONFIG.segment_counts, n_init=10)
 
 
 def scaled_features_only(spark: SparkSession, folder: str) -> DataFrame:

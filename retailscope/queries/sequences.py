@@ -9,8 +9,6 @@ from retailscope.operators.prep import stratified_split
 from retailscope.queries.inputs import feature_table, history_input, rounded, written_once
 from retailscope.queries.sqltext import piece, statement
 
-MAX_LEN = 8
-
 
 def steps(spark: SparkSession, folder: str) -> DataFrame:
     def build() -> DataFrame:
@@ -26,7 +24,7 @@ def purchase_sequences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def padded_sequences(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(sequences.flat_steps(sequences.padded_sequences(steps(spark, folder), MAX_LEN)))
+    return rounded(sequences.flat_steps(sequences.padded_sequences(steps(spark, folder))))
 
 
 def timing_baseline(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,7 +44,7 @@ piece("top_all", ("history",), """
 piece("orders_by_customer", ("history", "top_all"), """
     SELECT customer_id, invoice, min(invoice_date) AS ts, CAST(sum(quantity * price) AS DOUBLE) AS amount,
            arg_min(coalesce(category, 10), struct_pack(d := invoice_date, s := stock_code)) AS category_code
-    FROM history LEFT JOIN top_all USING (stock_code) GROUP BY customer_id, invoice""")
+    FROM history LEFT JOIN top_all USING (stock_code) WHERE invoice IS NOT NULL GROUP BY customer_id, invoice""")
 piece("stepped", ("orders_by_customer",), """
     SELECT *, row_number() OVER w AS step, CAST(coalesce(date_sub('day', lag(ts) OVER w, ts), 0) AS DOUBLE) AS gap_days,
            count(*) OVER (PARTITION BY customer_id) AS n_orders
@@ -59,12 +57,12 @@ piece("steps", ("stepped",), """
 SQL = {
     "purchase_sequences": statement(("steps",), """
         SELECT customer_id, step, round(amount, 6) + 0.0::DOUBLE AS amount, gap_days, category_code, target FROM steps"""),
-    "padded_sequences": statement(("steps",), f"""
-        SELECT c.customer_id, CAST(least(n, {MAX_LEN}) AS INTEGER) AS length, target, CAST(p AS INTEGER) AS position,
+    "padded_sequences": statement(("steps",), """
+        SELECT c.customer_id, CAST(n AS INTEGER) AS length, target, CAST(p AS INTEGER) AS position,
                round(coalesce(amount, 0), 6) + 0.0::DOUBLE AS amount, coalesce(gap_days, 0) AS gap_days,
                coalesce(category_code, 0) AS category_code
         FROM (SELECT customer_id, count(*) AS n, any_value(target) AS target FROM steps GROUP BY customer_id) AS c
-        CROSS JOIN range({MAX_LEN}) AS g(p)
+        CROSS JOIN (SELECT unnest(range(max(step))) AS p FROM steps) AS g
         LEFT JOIN (SELECT customer_id, step, amount, gap_days, category_code FROM steps) AS s
              ON s.customer_id = c.customer_id AND s.step = p + 1"""),
     "timing_baseline": statement(("steps", "splits"), """

@@ -10,13 +10,43 @@ from retailscope.queries.inputs import CONFIG, raw, rounded
 from retailscope.queries.sqltext import piece, statement
 from retailscope.sources import star_schema
 from retailscope.sources.transactions import coerce_types as coerce
-from retailscope.sources.transactions import union_sheets
+from retailscope.sources.transactions import uncoerced, union_sheets
 
 HEADINGS = {
     "invoice": "Invoice", "stock_code": "StockCode", "description": "Description", "quantity": "Quantity",
     "invoice_date": "InvoiceDate", "price": "Price", "customer_id": "Customer ID", "country": "Country",
 }
 
+# Expressions both engines read alike; plain text wins over the planted values.
+SHEET_TEXT = {
+    "invoice": "CAST(l_orderkey AS {text})",
+    "stock_code": "concat('P', CAST(l_partkey % 50 AS {text}))",
+    "description": "concat('part ', CAST(l_partkey AS {text}))",
+    "quantity": "CASE WHEN l_orderkey % 211 = 0 THEN 'n/a' WHEN l_orderkey % 212 = 0 THEN '3000000000' "
+                "WHEN l_orderkey % 214 = 0 THEN '17.5' ELSE CAST(l_quantity AS {text}) END",
+    "price": "CASE WHEN l_orderkey % 223 = 0 THEN '' WHEN l_orderkey % 224 = 0 THEN '0.001' WHEN l_orderkey % 225 = 0 THEN '1.005' "
+             "WHEN l_orderkey % 226 = 0 THEN '20000000000' WHEN l_orderkey % 229 = 0 THEN '0.0000001' "
+             "ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS {text}) END",
+    "invoice_date": "CASE WHEN l_orderkey % 227 = 0 THEN 'bad' WHEN l_orderkey % 228 = 0 THEN '12/1/2009 8:26' "
+                    "ELSE CAST(l_shipdate AS {text}) END",
+    "customer_id": "CASE WHEN l_orderkey % 230 = 0 THEN '17.00001' WHEN l_orderkey % 231 = 0 THEN '17.0' ELSE CAST(l_suppkey AS {text}) END",
+    "country": "concat('Land ', CAST(l_linenumber AS {text}))",
+}
+SHEET_SQL = "SELECT " + ", ".join(f"{rule.format(text='VARCHAR')} AS {name}" for name, rule in SHEET_TEXT.items()) + " FROM lineitem"
+SHEET_TEXT = {name: rule.format(text="STRING") for name, rule in SHEET_TEXT.items()}
+
+
+def exact_sql(column: str, target: str) -> str:
+    wide = f"TRY_CAST({column} AS DECIMAL(38, 18))"
+    return f"CASE WHEN TRY_CAST({wide} AS {target}) = {wide} THEN TRY_CAST({wide} AS {target}) END"
+
+
+COERCED_SQL = {
+    "quantity": exact_sql("quantity", "BIGINT"), "price": exact_sql("price", "DECIMAL(18, 6)"),
+    "invoice_date": "coalesce(TRY_CAST(invoice_date AS TIMESTAMP), try_strptime(invoice_date, '%m/%d/%Y %H:%M'))",
+    "customer_id": exact_sql("customer_id", "BIGINT"),
+}
+
 
 def load_union(spark: SparkSession, folder: str) -> DataFrame:
     """Two sheets with source headings, each its own scan, stacked and tagged."""
@@ -26,15 +56,18 @@ def load_union(spark: SparkSession, folder: str) -> DataFrame:
     return union_sheets({"A": early.withColumnsRenamed(HEADINGS), "B": late.withColumnsRenamed(HEADINGS)})
 
 
+def sheet_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a sheet of text with values that do not parse, and some that barely fit."""
+    return star_schema.read_table(spark, folder, "lineitem").selectExpr(*[f"{rule} AS {name}" for name, rule in SHEET_TEXT.items()])
+
+
 def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as text with unparsable values, coerced back."""
-    text = star_schema.read_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("invoice"),
-        F.expr("CASE WHEN l_orderkey % 211 = 0 THEN 'n/a' ELSE CAST(l_quantity AS STRING) END").alias("quantity"),
-        F.expr("CASE WHEN l_orderkey % 223 = 0 THEN '' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING) END").alias("price"),
-        F.expr("CASE WHEN l_orderkey % 227 = 0 THEN 'bad' ELSE CAST(l_shipdate AS STRING) END").alias("invoice_date"),
-    )
-    return coerce(text)
+    return coerce(sheet_text(spark, folder))
+
+
+def uncoerced_values(spark: SparkSession, folder: str) -> DataFrame:
+    lost = uncoerced(sheet_text(spark, folder))
+    return lost.select("invoice", "quantity", "price", "invoice_date", "customer_id", F.array_join("lost", ",").alias("lost"))
 
 
 def null_rates(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,7 +145,14 @@ NULL_RATE_ROWS = """
            CAST(0.02 AS DOUBLE) AS threshold, avg(CAST(description IS NULL AS DOUBLE)) <= 0.02 AS passed FROM raw
     UNION ALL
     SELECT 'null_rate:customer_id', round(avg(CAST(customer_id IS NULL AS DOUBLE)), 6),
-           CAST(0.30 AS DOUBLE), avg(CAST(customer_id IS NULL AS DOUBLE)) <= 0.30 FROM raw"""
+           CAST(0.30 AS DOUBLE), avg(CAST(customer_id IS NULL AS DOUBLE)) <= 0.30 FROM raw
+    UNION ALL
+    SELECT 'null_rate:invoice_date', round(avg(CAST(invoice_date IS NULL AS DOUBLE)), 6),
+           CAST(0.0 AS DOUBLE), avg(CAST(invoice_date IS NULL AS DOUBLE)) <= 0.0 FROM raw"""
+
+SCHEMA_ROWS = " UNION ALL ".join(
+    f"SELECT 'column:{c}' AS rule, CAST(count(*) FILTER ({c} IS NOT NULL) AS DOUBLE) AS value, "
+    f"CAST(1 AS DOUBLE) AS threshold, count(*) FILTER ({c} IS NOT NULL) >= 1 OR count(*) = 0 AS passed FROM raw" for c in HEADINGS)
 
 
 def date_rows(latest: str) -> str:
@@ -126,6 +166,7 @@ def date_rows(latest: str) -> str:
 QUERIES = {
     "load_union": load_union,
     "coerce_types": coerce_types,
+    "uncoerced_values": uncoerced_values,
     "validate_schema": validate_schema,
     "null_rates": null_rates,
     "date_range": date_range,
@@ -144,15 +185,13 @@ SQL = {
     "load_union": statement(("raw",), """
         SELECT invoice, stock_code, description, quantity, invoice_date, price, customer_id, country, source_sheet
         FROM raw"""),
-    "coerce_types": """
-        SELECT CAST(l_orderkey AS VARCHAR) AS invoice,
-               TRY_CAST(TRY_CAST(CASE WHEN l_orderkey % 211 = 0 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END
-                        AS DECIMAL(24, 4)) AS INTEGER) AS quantity,
-               TRY_CAST(CASE WHEN l_orderkey % 223 = 0 THEN '' ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) END
-                        AS DECIMAL(12, 2)) AS price,
-               TRY_CAST(CASE WHEN l_orderkey % 227 = 0 THEN 'bad' ELSE CAST(l_shipdate AS VARCHAR) END
-                        AS TIMESTAMP) AS invoice_date
-        FROM lineitem""",
+    "coerce_types": "SELECT invoice, stock_code, description, country, " + ", ".join(
+        f"{rule} AS {name}" for name, rule in COERCED_SQL.items()) + f" FROM ({SHEET_SQL})",
+    "uncoerced_values": f"""
+        SELECT invoice, quantity, price, invoice_date, customer_id, concat_ws(',', """ + ", ".join(
+        f"CASE WHEN trim({name}) <> '' AND ({rule}) IS NULL THEN '{name}' END" for name, rule in COERCED_SQL.items()) + f""") AS lost
+        FROM ({SHEET_SQL}) WHERE lost <> ''""",
+    "validate_schema": statement(("raw",), SCHEMA_ROWS),
     "null_rates": statement(("raw",), NULL_RATE_ROWS),
     "date_range": statement(("raw",), date_rows("2001-07-31")),
     "validation_report": statement(("raw",), NULL_RATE_ROWS + " UNION ALL " + date_rows("2001-08-02")),

@@ -19,22 +19,18 @@ RAW_TO_CANONICAL = {
 
 CANONICAL_COLUMNS = tuple(dict.fromkeys(RAW_TO_CANONICAL.values()))
 
-PRICE_TYPE = T.DecimalType(12, 2)
+PRICE_TYPE = T.DecimalType(18, 6)
+
+# Input formats of invoice dates besides ISO 8601, tried in order.
+DATE_FORMATS = ("M/d/yyyy H:mm", "d.M.yyyy H:mm")
 
 TRANSACTION_TYPES = {
     "invoice": T.StringType(),
     "stock_code": T.StringType(),
     "description": T.StringType(),
-    "quantity": T.IntegerType(),
+    "quantity": T.LongType(),
     "invoice_date": T.TimestampNTZType(),
     "price": PRICE_TYPE,
     "customer_id": T.LongType(),
     "country": T.StringType(),
 }
-
-
-def raw_text_schema(customer_heading: str = "Customer ID") -> T.StructType:
-    """All-string read schema of a raw sheet, so no value is lost before coercion."""
-    names = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
-             customer_heading, "Country"]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])

@@ -1,7 +1,7 @@
 """Transactions derived from a star schema of order lines, orders, customers, nations and parts.
 
 Order lines carry none of the flaws that cleaning handles, so fixed arithmetic rules on the keys plant
-returns, zero prices, missing customers, administrative codes, untidy descriptions and exact copies.
+returns, zero and sub-cent prices, missing invoices and customers, administrative codes, untidy descriptions and exact copies.
 """
 
 from __future__ import annotations
@@ -16,16 +16,17 @@ IS_RETURN = "(l_returnflag = 'R' AND l_orderkey % 5 = 0)"
 
 # Shared attribute rules, by output column, over order lines joined to orders.
 LINE_RULES = {
-    "invoice": f"CASE WHEN {IS_RETURN} THEN concat('C', CAST(l_orderkey AS STRING)) "
+    "invoice": f"CASE WHEN l_orderkey % 89 = 0 THEN NULL WHEN {IS_RETURN} THEN concat('C', CAST(l_orderkey AS STRING)) "
                "ELSE CAST(l_orderkey AS STRING) END",
     "stock_code": "CASE WHEN l_linenumber = 7 AND l_partkey % 9 = 0 THEN 'POST' "
                   "WHEN l_linenumber = 7 AND l_partkey % 9 = 1 THEN 'bank charges' "
                   "ELSE concat('P', CAST(l_partkey % 50 AS STRING)) END",
-    "quantity": f"CASE WHEN {IS_RETURN} THEN -CAST(l_quantity AS INT) ELSE CAST(l_quantity AS INT) END",
+    "quantity": f"CASE WHEN {IS_RETURN} THEN -CAST(l_quantity AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END",
     "invoice_date": "o_orderdate + make_dt_interval(0, 0, CAST(l_orderkey % 1440 AS INT), 0)",
     "price": "CAST(CASE WHEN (l_orderkey + l_linenumber) % 101 = 0 THEN 0 "
-             "ELSE (CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS BIGINT)) * 0.01BD END "
-             "AS DECIMAL(12, 2))",
+             "WHEN (l_orderkey + l_linenumber) % 103 = 0 THEN 0.001BD "
+             "ELSE (CAST(round(l_extendedprice * 100) AS BIGINT) div CAST(l_quantity AS BIGINT)) * 0.01BD "
+             "+ CASE WHEN l_orderkey % 107 = 0 THEN 0.005BD ELSE 0BD END END AS DECIMAL(18, 6))",
     "customer_id": f"CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE o_custkey + {CUSTOMER_ID_OFFSET} END",
 }
 

@@ -33,12 +33,12 @@ METADATA_SCHEMA = T.StructType([
 def write_cleaned(lines: DataFrame, path: str) -> DataFrame:
     """Write cleaned lines partitioned by year and month, so a cutoff prunes whole folders.
 
-    Writing sorts each task's rows by the partition columns; a month that holds a third of all rows is
-    still written by many tasks.
+    Rows of a month are brought together first, so files follow from the size of the data and not from
+    tasks times months; adaptive execution splits a month that is too large for one task.
     """
     spark = lines.sparkSession
     dated = lines.withColumns({"year": F.year("invoice_date"), "month": F.month("invoice_date")})
-    dated.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+    dated.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy("year", "month").parquet(path)
     return read_cleaned(spark, path)
 
 
@@ -83,7 +83,11 @@ def append_records(records: DataFrame, target: str, fmt: str = "parquet", **opti
 
 
 def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Scoring rows from a CSV file; fields that do not parse become null and are quarantined later."""
+    """Scoring rows from a CSV file.
+
+    Fields that do not parse become null, and rows with too many or too few fields keep their text in
+    ``corrupt_record``; scoring quarantines both.
+    """
     if not path.endswith(".csv"):
         raise ValueError("only CSV files are accepted")
     header = spark.read.csv(path, header=True).columns
@@ -95,7 +99,7 @@ def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
         .csv(path, header=True)
     )
     known = {f.name: F.col(f.name).try_cast(f.dataType) for f in SCORING_SCHEMA if f.name in header}
-    return rows.select(*[known[f.name].alias(f.name) for f in SCORING_SCHEMA if f.name in known])
+    return rows.select(*[known[f.name].alias(f.name) for f in SCORING_SCHEMA if f.name in known], "corrupt_record")
 
 
 def save_model(model: PipelineModel, folder: str, name: str) -> str:

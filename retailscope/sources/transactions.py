@@ -1,14 +1,14 @@
-"""Reading raw transaction sheets: heading standardisation, lossy coercion, union with a source tag."""
+"""Reading raw transaction sheets: heading standardisation, exact coercion, union with a source tag."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailscope.schema import CANONICAL_COLUMNS, RAW_TO_CANONICAL, TRANSACTION_TYPES
+from retailscope.schema import CANONICAL_COLUMNS, DATE_FORMATS, RAW_TO_CANONICAL, TRANSACTION_TYPES
 
 
 def standardize_columns(df: DataFrame) -> DataFrame:
@@ -20,19 +20,38 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return renamed
 
 
-def coerce_types(df: DataFrame) -> DataFrame:
-    """Cast every known column to its type; values that do not parse become null."""
-    casts = {}
-    for name, target in TRANSACTION_TYPES.items():
-        if name not in df.columns:
-            continue
-        if isinstance(target, (T.IntegerType, T.LongType)):
-            # spreadsheets export whole numbers as "17.0"; fractions are not whole numbers
-            number = F.col(name).try_cast("decimal(24,4)")
-            casts[name] = F.when(number == F.floor(number), number.try_cast(target))
-        else:
-            casts[name] = F.col(name).try_cast(target)
-    return df.withColumns(casts)
+EXACT = "decimal(38,18)"  # wide enough to see what a narrower type would round away
+
+
+def coerced(name: str, date_formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """One known column in its type; null where the value does not parse or would not fit exactly."""
+    target = TRANSACTION_TYPES[name]
+    if isinstance(target, (T.LongType, T.DecimalType)):
+        # spreadsheets export whole numbers as "17.0"; nothing is rounded into a type
+        fitted = F.col(name).try_cast(EXACT).try_cast(target)
+        return F.when(fitted.cast(EXACT) == F.col(name).try_cast(EXACT), fitted)
+    if isinstance(target, T.TimestampNTZType):
+        text = F.col(name).cast("string")
+        others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in date_formats]
+        return F.coalesce(F.col(name).try_cast(target), *others)
+    return F.col(name).try_cast(target)
+
+
+def coerce_types(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Give every known column its type without changing a value.
+
+    What does not parse, or fits its type only after rounding, becomes null; ``uncoerced`` lists it.
+    """
+    return df.withColumns({name: coerced(name, date_formats) for name in TRANSACTION_TYPES if name in df.columns})
+
+
+def uncoerced(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Rows of ``df`` with a value that coercion loses, and the names of those columns in ``lost``."""
+    lost = [
+        F.when(F.col(n).isNotNull() & (F.trim(F.col(n).cast("string")) != "") & coerced(n, date_formats).isNull(), F.lit(n))
+        for n in TRANSACTION_TYPES if n in df.columns
+    ]
+    return df.withColumn("lost", F.filter(F.array(*lost), lambda name: name.isNotNull())).where(F.size("lost") > 0)
 
 
 def union_sheets(sheets: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,13 +1,15 @@
 """Online scoring: the batch scoring rules over a stream of request files.
 
 Validation and scoring are row-local, so the stream needs no state and no watermark. Each micro-batch is
-appended under its own batch folder, which a retried batch overwrites: results appear exactly once.
+appended under its query's and its own folder, which a retried batch overwrites: results appear exactly
+once, and a stream with a new checkpoint never replaces what an earlier one wrote.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,10 +46,16 @@ def score_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_valid(batch)
-        records = score_rows(scorer(good), F.col("probability"), model_name)
-        records.write.mode("overwrite").parquet(f"{predictions}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        place = f"query={query}/batch={batch_id}"
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good, bad = split_valid(batch)
+            records = score_rows(scorer(good), F.col("probability"), model_name)
+            records.write.mode("overwrite").parquet(f"{predictions}/{place}")
+            bad.write.mode("overwrite").parquet(f"{quarantine}/{place}")
+        finally:
+            batch.unpersist()
 
     return (
         requests.writeStream.foreachBatch(handle)
