@@ -2,9 +2,10 @@
 
 A document's features are the n-grams it holds, each counted once, hashed to a fixed number of columns:
 n-grams of its bytes, and n-grams of ditto marks, which tell for each word whether it repeats the one
-before. Class log-count ratios, from all training rows, scale the indicators; a linear hinge-loss model
-on the scaled features is fitted by dual coordinate descent, and its margin is turned into a probability
-by a logistic curve fitted on rows the model has not seen.
+before. Class log-count ratios scale the indicators; a linear hinge-loss model on the scaled features is
+fitted by dual coordinate descent, and its margin is turned into a probability by a logistic curve fitted
+on rows the model has not seen. All of this is fitted on a bounded sample of labelled rows; every text is
+scored, whole, in one pass and without moving.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from retailscope.sources.shared import materialize
 COLUMN_BITS = 16
 ORDERS = (1, 2, 3, 4)
 SMOOTHING = 1.0
-MAX_FIT_ROWS = 6000  # rows of the hinge-loss fit; the class counts use every training row
+MAX_LABELLED_ROWS = 20_000  # labelled rows the class counts are taken from, half of each class where there are enough
+MAX_FIT_ROWS = 6000  # rows of the hinge-loss fit, taken from those
 FIT_BYTES = 1 << 14  # longer texts do not enter the fit's sample; they are scored and counted like all
 PENALTY = 0.05
 EPOCHS = 12
@@ -144,11 +146,12 @@ def logistic_curve(margin: np.ndarray, positive: np.ndarray) -> tuple[float, flo
     return float(b[0]), float(b[1])
 
 
-def fit(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, np.ndarray] | None:
+def fit(labelled: DataFrame, totals: dict[int, int], max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, np.ndarray] | None:
     """Fit on ``labelled`` (doc_id, text, label); None if a class is missing.
 
-    The class counts use all rows; the hinge-loss fit and its curve use at most ``max_fit_rows`` rows of up
-    to ``FIT_BYTES`` bytes, chosen by the hash of their ids, half of them from each class where there are enough.
+    The class counts use all rows given; the hinge-loss fit and its curve use at most ``max_fit_rows`` of up
+    to ``FIT_BYTES`` bytes, chosen by the hash of their ids, half of them from each class where there are
+    enough. ``totals`` are the rows per label that exist, which set the share of label 1.
     """
     rows, counts = class_counts(labelled)
     if not rows.all():
@@ -179,7 +182,7 @@ def fit(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, n
         weights = dual_descent([f for f, h in zip(features, half) if not h], signs[~half], ratios, costs[~half])
         outside[half] = margins([f for f, h in zip(features, half) if h], weights, ratios)
     slope, shift = logistic_curve(outside, positive)
-    shift += float(np.log(rows[1] / rows[0]) - np.log(positive.sum() / (~positive).sum()))
+    shift += float(np.log(totals[1] / totals[0]) - np.log(positive.sum() / (~positive).sum()))
     weights = dual_descent(features, signs, ratios, costs)
     return Model(weights[:-1] * ratios, 0.5 * weights[-1], slope, shift), ratios * ratios
 
@@ -187,10 +190,12 @@ def fit(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, n
 def score_quality(
     docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held_out_fold: int = 0,
     id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality",
+    max_labelled_rows: int = MAX_LABELLED_ROWS,
 ) -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per row of ``docs``.
 
-    Labels of ids in the held-out fold are never read. ``score`` is the probability of label 1 for the
+    Labels of ids in the held-out fold are never read; of the others at most ``max_labelled_rows`` train, so
+    that no text has to move to meet its label. ``score`` is the probability of label 1 for the
     whole text, null counting as empty; an empty text has the score of the model's offset. ``predicted`` is 1 from
     ``threshold`` on. Null ids or labels teach nothing; labels other than 0 and 1 are ignored, and an id
     labelled or listed several times counts each time. Without training rows of both classes every score
@@ -200,8 +205,14 @@ def score_quality(
     known = only_named(labels, doc_id=id_column, label=label_column).where(
         F.col("label").isin(0, 1) & ~in_fold("doc_id", folds, held_out_fold)
     )
-    labelled = rows.join(known.select("doc_id", F.col("label").cast("int").alias("label")), "doc_id")
-    fitted = fit(materialize(labelled, "quality-training"))
+    known = known.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("label").cast("int").alias("label"))
+    totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    fitted = None
+    if len(totals) == 2:
+        most = max_labelled_rows // 2
+        one, other = (known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1))
+        sample = F.broadcast(one.unionByName(other))  # at most max_labelled_rows ids
+        fitted = fit(materialize(rows.join(sample, "doc_id"), "quality-training"), totals)
     model, squares = fitted or (None, None)
 
     def score(texts: pa.Array) -> pa.Array:
