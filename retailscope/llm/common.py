@@ -75,3 +75,18 @@ def without_repeats(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     repeated = counted.where("n > 1")
     once = among(counted.where("n = 1"))
     return once if repeated.isEmpty() else once.unionByName(among(repeated).dropDuplicates([key]))
+
+
+def hash_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:
+    """At most ``most`` rows in the order of a hash of ``columns``, the same ones whatever the partitioning.
+
+    Of a large table only the rows under a hash threshold, about twice as many as wanted, are sorted, so
+    what reaches one place does not grow with the number of partitions. Only a table made of so few
+    different rows that the threshold misses too many is sorted as it is.
+    """
+    draw, span = F.xxhash64(*columns), 1 << 30
+    total = df.count()
+    if total > 4 * most:
+        under = df.where(F.pmod(draw, F.lit(span)) < -(-span * 2 * most // total))
+        df = under if under.limit(most).count() == most else df
+    return df.orderBy(draw, *columns).limit(most)

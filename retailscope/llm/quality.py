@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailscope.llm.common import only_named, whole_text
+from retailscope.llm.common import hash_sample, only_named, whole_text
 from retailscope.llm.langid import in_fold
 from retailscope.sources.shared import materialize
 
@@ -210,7 +210,7 @@ def score_quality(
     fitted = None
     if len(totals) == 2:
         most = max_labelled_rows // 2
-        one, other = (known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1))
+        one, other = (hash_sample(known.where(F.col("label") == c), most, "doc_id") for c in (0, 1))
         sample = F.broadcast(one.unionByName(other))  # at most max_labelled_rows ids
         fitted = fit(materialize(rows.join(sample, "doc_id"), "quality-training"), totals)
     model, squares = fitted or (None, None)
