@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from retailscope.functions.hotkeys import join_groups
+from retailscope.sources.shared import materialize
+
 BUCKET_STEPS = (64, 32, 16, 8, 4, 2, 1)
 N_BUCKETS = 2 * BUCKET_STEPS[0]
 CUT_ACCURACY = 1000  # ten times finer than a bucket is wide
@@ -145,10 +148,11 @@ def percent_ranks(df: DataFrame, row_id: str, metrics: Sequence[str]) -> DataFra
         ).alias("cell"),
     ).select(row_id, "cell.metric", "cell.value")
     ranked = cumulative_histogram(melted, F.col("value"), ["metric"]).select(
-        "metric", "value", average_percent_rank().alias("percent_rank")
+        "metric", "value", average_percent_rank().alias("percent_rank"), "n", "total"
     )
+    # a third of all rows may share a value, such as one order
+    placed = join_groups(melted, materialize(ranked, "percent-ranks"), ["metric", "value"], "n", F.col("total"))
     return (
-        melted.join(ranked, ["metric", "value"])
-        .groupBy(row_id)
+        placed.groupBy(row_id)
         .agg(*[F.max(F.when(F.col("metric") == m, F.col("percent_rank"))).alias(f"{m}_rank") for m in metrics])
     )
