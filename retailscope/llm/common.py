@@ -65,12 +65,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
 def without_repeats(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose ``key`` is among ``ids``, one for each; null is a key like others.
 
-    Rows that repeat a key are one document, of which any row stays.
+    Rows that repeat a key are one document, of which any row stays. Documents move once, to meet the ids
+    in a sort-merge join, at every size alike.
     """
     counted = materialize(ids.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "kept-ids").withColumnRenamed(key, "kept_key")
 
     def among(keys: DataFrame) -> DataFrame:
-        return docs.join(keys, F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
+        return docs.join(keys.hint("merge"), F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
 
     repeated = counted.where("n > 1")
     once = among(counted.where("n = 1"))
