@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 
 DOUBLE_SPACE = re.compile(r"\s\s")
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-MAX_CACHED = 500_000
+MAX_CACHED = 250_000
 MAX_CACHED_CHARS = 48
 BATCH_BYTES = 1 << 18
 
