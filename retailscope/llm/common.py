@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from retailscope.sources.shared import materialize, shared_folder
 
-HOT_GROUPS = 1000
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -48,20 +46,6 @@ def worker_state(place: str, key: object, build: Callable):
     return kept[place][1]
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Give every row the columns of its group, whatever share of the rows one group holds.
-
-    ``groups`` has one row per ``key`` with the number of its rows in ``size``; the numbers add up to
-    ``total``. Groups with more than ``total / HOT_GROUPS`` rows are fewer than ``HOT_GROUPS`` by
-    arithmetic, so they are broadcast and their rows never move; the rest meet in a sort-merge join.
-    """
-    hot = F.col(size) * HOT_GROUPS > F.lit(total)
-    few = F.broadcast(groups.where(hot))
-    stay = rows.join(few, key)
-    move = rows.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti")
-    return stay.unionByName(move.join(groups.where(~hot).hint("merge"), key))
-
-
 def without_repeats(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose ``key`` is among ``ids``, one for each; null is a key like others.
 

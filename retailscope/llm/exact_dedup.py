@@ -12,7 +12,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailscope.llm.common import fresh_path, join_groups, only_named, whole_text
+from retailscope.functions.hotkeys import join_groups
+from retailscope.llm.common import fresh_path, only_named, whole_text
 from retailscope.sources.shared import materialize
 from retailscope.sources.transactions import path_exists
 
@@ -65,7 +66,8 @@ class DigestIndex:
         fresh.repartition(self.buckets, "digest").write.insertInto(self.table)
 
         decided = groups.select("digest", "group_size").join(self.entries().hint("merge"), "digest")
-        return join_groups(rows, decided, "digest", "group_size", rows.count()).select(
+        decided = materialize(decided, "digest-decisions")
+        return join_groups(rows, decided, "digest", "group_size", rows.count(), "merge").select(
             "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         )

@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailscope.llm.common import join_groups, only_named, whole_text
+from retailscope.functions.hotkeys import join_groups
+from retailscope.llm.common import only_named, whole_text
 from retailscope.operators.density import connected_labels
 from retailscope.sources.shared import materialize
 
@@ -240,11 +241,12 @@ def simhash_groups(
     labels = connected_labels(nodes, found).withColumnRenamed("id", "fp")
     linked = materialize(distinct.join(labels, "fp").select("fp", "label", "first_id"), "simhash-linked")
     heads = linked.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
-    named = join_groups(linked, heads, "label", "size", linked.count()).select("fp", "component_id")
+    heads = materialize(heads, "simhash-heads")
+    named = join_groups(linked, heads, "label", "size", linked.count(), "merge").select("fp", "component_id")
     groups = materialize(
         distinct.join(named, "fp", "left").select("fp", "n", F.coalesce("component_id", "first_id").alias("component_id")),
         "simhash-groups",
     )
-    return join_groups(rows, groups, "fp", "n", rows.count()).select(
+    return join_groups(rows, groups, "fp", "n", rows.count(), "merge").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
