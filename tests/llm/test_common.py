@@ -1,6 +1,7 @@
 from helpers import documents
 
-from retailscope.llm.common import hash_sample, join_groups, without_repeats
+from retailscope.functions.hotkeys import join_groups
+from retailscope.llm.common import hash_sample, without_repeats
 from pyspark.sql import functions as F
 
 
