@@ -181,7 +181,7 @@ SQL = {
               FROM centroids a JOIN scatter sa ON a.cluster = sa.cluster, centroids b JOIN scatter sb ON b.cluster = sb.cluster
               WHERE a.cluster <> b.cluster GROUP BY a.cluster)"""),
     "silhouette": statement(("assigned", "centroids"), f"""
-        SELECT round(avg(CASE WHEN own_n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette_score
+        SELECT round(avg(CASE WHEN own_n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette_squared
         FROM (SELECT customer_id, max(n) FILTER (own) AS own_n, min(d) FILTER (NOT own) AS b,
                      max(d * n / (n - 1)) FILTER (own) AS a
               FROM (SELECT customer_id, centroids.cluster = assigned.cluster AS own, n,
