@@ -10,7 +10,7 @@ scored, whole, in one pass and without moving.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +27,6 @@ ORDERS = (1, 2, 3, 4)
 SMOOTHING = 1.0
 MAX_LABELLED_ROWS = 20_000  # labelled rows the class counts are taken from, half of each class where there are enough
 MAX_FIT_ROWS = 6000  # rows of the hinge-loss fit, taken from those
-FIT_BYTES = 1 << 14  # longer texts do not enter the fit's sample; they are scored and counted like all
 PENALTY = 0.05
 EPOCHS = 12
 SEED = 6
@@ -64,6 +63,37 @@ def grams(text: bytes, held: np.ndarray) -> np.ndarray:
     return columns
 
 
+def packed(columns: np.ndarray) -> bytes:
+    """Sorted columns in at most one bit for each that exists: as numbers where they are few, else as a bit set."""
+    if 2 * len(columns) < (1 << COLUMN_BITS) // 8:
+        return columns.astype("<u2").tobytes()
+    held = np.zeros(1 << COLUMN_BITS, dtype=bool)
+    held[columns] = True
+    return np.packbits(held).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    if len(data) < (1 << COLUMN_BITS) // 8:
+        return np.frombuffer(data, dtype="<u2")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(data, dtype=np.uint8)).view(bool))
+
+
+class PackedRows(Sequence):
+    """The columns of many texts, 8 KB a text at most, unpacked one at a time."""
+
+    def __init__(self, rows: list[bytes]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return unpacked(self.rows[i])
+
+    def where(self, mask: np.ndarray) -> PackedRows:
+        return PackedRows([self.rows[i] for i in np.flatnonzero(mask)])
+
+
 @dataclass
 class Model:
     weights: np.ndarray  # already times the log-count ratios
@@ -108,27 +138,52 @@ def class_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return rows, counts
 
 
-def dual_descent(features: list[np.ndarray], signs: np.ndarray, ratios: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    """Weights of the squared-hinge support vector machine on the scaled, length-one features."""
-    weights = np.zeros(len(ratios) + 1)  # the last is the offset
-    scaled = []
-    for columns in features:
-        values = np.append(ratios[columns], 0.5)
-        scaled.append((np.append(columns, len(ratios)), values / max(np.linalg.norm(values), 1e-12)))
+def fit_rows(labelled: DataFrame, most: int) -> tuple[list[int], PackedRows]:
+    """Labels and columns of the rows of ``labelled`` with the smallest hashes, ``most`` of each label.
+
+    Tasks read the whole texts, however long; only their packed columns come back.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << COLUMN_BITS, dtype=bool)
+        for batch in batches:
+            rows = [packed(grams(text, held)) for text in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("draw"), pa.array(rows, pa.binary())], ["draw", "columns"])
+
+    signs, columns = [], []
+    for label in (0, 1):
+        own = labelled.where(F.col("label") == label).withColumn("draw", F.xxhash64("doc_id", "text"))
+        draws = own.select("draw").orderBy("draw").limit(most)  # numbers only, so choosing moves no texts
+        last = draws.agg(F.max("draw")).first()[0]
+        if last is not None:
+            chosen = own.where(F.col("draw") <= last).select("draw", "text").mapInArrow(pack, "draw bigint, columns binary")
+            rows = sorted((r["draw"], bytes(r["columns"])) for r in chosen.limit(most).collect())  # bounded by most
+            signs += [label] * len(rows)
+            columns += [row for _, row in rows]
+    return signs, PackedRows(columns)
+
+
+def dual_descent(features: Sequence[np.ndarray], signs: np.ndarray, ratios: np.ndarray, costs: np.ndarray) -> np.ndarray:
+    """Weights of the squared-hinge support vector machine on the scaled, length-one features; the last is the offset."""
+    weights, offset, squares = np.zeros(len(ratios)), 0.0, ratios * ratios
+    lengths = [max(np.sqrt(squares[columns].sum() + 0.25), 1e-12) for columns in features]
     alpha, draw = np.zeros(len(features)), np.random.default_rng(SEED)
     for _ in range(EPOCHS):
         for i in draw.permutation(len(features)):
-            columns, values = scaled[i]
+            columns = features[i]
+            values, constant = ratios[columns] / lengths[i], 0.5 / lengths[i]
             slack = 0.5 / costs[i]
-            gradient = signs[i] * (weights[columns] @ values) - 1 + alpha[i] * slack
+            gradient = signs[i] * (weights[columns] @ values + offset * constant) - 1 + alpha[i] * slack
             fresh = max(0.0, alpha[i] - gradient / (1.0 + slack))
             if fresh != alpha[i]:
-                weights[columns] += (fresh - alpha[i]) * signs[i] * values
+                change = (fresh - alpha[i]) * signs[i]
+                weights[columns] += change * values
+                offset += change * constant
                 alpha[i] = fresh
-    return weights
+    return np.append(weights, offset)
 
 
-def margins(features: list[np.ndarray], weights: np.ndarray, ratios: np.ndarray) -> np.ndarray:
+def margins(features: Sequence[np.ndarray], weights: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     scaled, squares = weights[:-1] * ratios, ratios * ratios
     return np.array([
         (scaled[c].sum() + 0.5 * weights[-1]) / max(np.sqrt(squares[c].sum() + 0.25), 1e-12) for c in features
@@ -149,8 +204,8 @@ def logistic_curve(margin: np.ndarray, positive: np.ndarray) -> tuple[float, flo
 def fit(labelled: DataFrame, totals: dict[int, int], max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, np.ndarray] | None:
     """Fit on ``labelled`` (doc_id, text, label); None if a class is missing.
 
-    The class counts use all rows given; the hinge-loss fit and its curve use at most ``max_fit_rows`` of up
-    to ``FIT_BYTES`` bytes, chosen by the hash of their ids, half of them from each class where there are
+    The class counts use all rows given; the hinge-loss fit and its curve use at most ``max_fit_rows``, chosen
+    by the hash of their ids and texts whatever their length, half of them from each class where there are
     enough. ``totals`` are the rows per label that exist, which set the share of label 1.
     """
     rows, counts = class_counts(labelled)
@@ -158,29 +213,19 @@ def fit(labelled: DataFrame, totals: dict[int, int], max_fit_rows: int = MAX_FIT
         return None
     shares = (counts + SMOOTHING) / (rows + 2 * SMOOTHING)[:, None]
     ratios = np.log(shares[1] / shares[0])
-    sample, short = [], labelled.where(F.octet_length("text") <= FIT_BYTES)
-    for label in (0, 1):
-        own, most = short.where(F.col("label") == label).withColumn("draw", F.xxhash64("doc_id", "text")), max_fit_rows // 2
-        draws = own.select("draw").orderBy("draw").limit(most)  # numbers only, so choosing moves no texts
-        last = draws.agg(F.max("draw")).first()[0]
-        if last is not None:
-            chosen = own.where(F.col("draw") <= last).limit(most).select("text").collect()  # bounded by max_fit_rows
-            sample += [(label, r["text"]) for r in chosen]
-    held = np.zeros(1 << COLUMN_BITS, dtype=bool)
-    features = [grams(text.encode(), held) for _, text in sample]
-    positive = np.array([label for label, _ in sample]) == 1
-    if positive.all() or not positive.any():
-        return None
+    sample, features = fit_rows(labelled, max_fit_rows // 2)
+    positive = np.array(sample) == 1
     signs = np.where(positive, 1.0, -1.0)
     costs = np.where(positive, len(signs) / positive.sum(), len(signs) / (~positive).sum()) * PENALTY
     # the curve sees margins from models fitted without the row; its shift then follows the true class shares
+    # the only row of a class has to teach both models
     apart = np.arange(len(signs)) % 2 == 0
+    lone = np.where(positive, positive.sum(), (~positive).sum()) == 1
     outside = np.zeros(len(signs))
     for half in (apart, ~apart):
-        if len(set(signs[~half])) < 2:
-            return None
-        weights = dual_descent([f for f, h in zip(features, half) if not h], signs[~half], ratios, costs[~half])
-        outside[half] = margins([f for f, h in zip(features, half) if h], weights, ratios)
+        taught = ~half | lone
+        weights = dual_descent(features.where(taught), signs[taught], ratios, costs[taught])
+        outside[half] = margins(features.where(half), weights, ratios)
     slope, shift = logistic_curve(outside, positive)
     shift += float(np.log(totals[1] / totals[0]) - np.log(positive.sum() / (~positive).sum()))
     weights = dual_descent(features, signs, ratios, costs)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from helpers import ODD_ROWS, documents, fold
 
-from retailscope.llm.quality import COLUMN_BITS, dual_descent, grams, score_quality
+from retailscope.llm.quality import COLUMN_BITS, dual_descent, grams, packed, score_quality, unpacked
 
 
 def corpus(seed, n):
@@ -79,3 +79,31 @@ def test_dual_descent_solves_the_problem():
 
     best = objective(weights)
     assert all(best <= objective(weights + 0.02 * draw.normal(size=13)) for _ in range(200))
+
+
+def test_long_texts_teach_too(spark):
+    """One class has only texts over 16 KB, as books against short junk."""
+    docs, labels = corpus(4, 200)
+    good = dict(labels)
+    docs = [(i, " ".join([text] * (1 + 20_000 // len(text))) if good[i] else text, *rest) for i, text, *rest in docs]
+    assert all((len(d[1]) > 1 << 14) == bool(good[d[0]]) for d in docs)
+    got = score_quality(documents(spark, docs), labels_table(spark, labels)).collect()
+    held = [r for r in got if r["held_out"]]
+    assert sum(good[r["doc_id"]] == r["predicted"] for r in held) >= 0.95 * len(held) > 20
+
+
+def test_one_row_of_a_class_is_enough(spark):
+    docs, labels = corpus(5, 100)
+    good = dict(labels)
+    bad = next(i for i, q in labels if not q and fold(i, 5) and i % 8)
+    few = [(i, q) for i, q in labels if q or i == bad]
+    got = {r["doc_id"]: r["score"] for r in score_quality(documents(spark, docs), labels_table(spark, few)).collect()}
+    shouted = [s for i, s in got.items() if not good[i] and i % 8]
+    assert max(shouted) < min(s for i, s in got.items() if good[i])
+
+
+def test_columns_pack_into_bounded_bytes():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 4095, 4096, 4097, 1 << COLUMN_BITS):
+        columns = np.sort(draw.permutation(1 << COLUMN_BITS)[:n])
+        assert unpacked(packed(columns)).tolist() == columns.tolist() and len(packed(columns)) <= 1 << (COLUMN_BITS - 3)
