@@ -2,33 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailscope.llm.common import fresh_path, without_repeats
+from retailscope.functions.hotkeys import join_groups
+from retailscope.llm.common import fresh_path, whole_text, without_repeats
 from retailscope.llm.decontaminate import decontaminate
 from retailscope.llm.langid import UNDECIDED, identify_languages
 from retailscope.llm.mixing import mix
-from retailscope.llm.simhash import simhash_groups
+from retailscope.llm.simhash import fingerprints, simhash_heads
 from retailscope.llm.token_shards import token_shards
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def same(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those without a letter go."""
     return identify_languages(docs, docs, keep=COLUMNS).where(F.col("lang_pred") != UNDECIDED).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id."""
-    groups = simhash_groups(docs)
-    heads = groups.where(same(F.col("doc_id"), F.col("component_id"))).select("doc_id")
-    return without_repeats(docs.select(*COLUMNS), heads, "doc_id")
+    """Of each group of near-duplicates one document, that with the smallest id.
+
+    Where an id is null or stands for several rows, its rows are told apart by their fingerprints as well.
+    """
+    docs = docs.select(*COLUMNS)
+    heads, shared = simhash_heads(docs)
+    if shared.isEmpty():
+        return without_repeats(docs, heads, "doc_id")
+    unclear = heads["doc_id"].eqNullSafe(shared["doc_id"])
+    plain = without_repeats(docs, heads.join(shared, unclear, "left_anti"), "doc_id")
+    several = shared.where("doc_id IS NOT NULL")
+    told = docs.where("doc_id IS NULL").unionByName(join_groups(docs, several, "doc_id", "n", docs.count()).drop("n"))
+    told = told.withColumn("fp", fingerprints(whole_text()))
+    return plain.unionByName(without_repeats(told, heads.join(shared, unclear, "left_semi"), "doc_id", "fp").drop("fp"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,20 +46,22 @@ def worker_state(place: str, key: object, build: Callable):
     return kept[place][1]
 
 
-def without_repeats(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows of ``docs`` whose ``key`` is among ``ids``, one for each; null is a key like others.
+def without_repeats(docs: DataFrame, ids: DataFrame, *key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is among ``ids``, one for each; null is a value like others.
 
     Rows that repeat a key are one document, of which any row stays. Documents move once, to meet the ids
     in a sort-merge join, at every size alike.
     """
-    counted = materialize(ids.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "kept-ids").withColumnRenamed(key, "kept_key")
+    counted = materialize(ids.groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "kept-ids")
+    counted = counted.withColumnsRenamed({k: f"kept_{k}" for k in key})
+    same = [F.col(k).eqNullSafe(F.col(f"kept_{k}")) for k in key]
 
     def among(keys: DataFrame) -> DataFrame:
-        return docs.join(keys.hint("merge"), F.col(key).eqNullSafe(F.col("kept_key")), "left_semi")
+        return docs.join(keys.hint("merge"), same, "left_semi")
 
     repeated = counted.where("n > 1")
     once = among(counted.where("n = 1"))
-    return once if repeated.isEmpty() else once.unionByName(among(repeated).dropDuplicates([key]))
+    return once if repeated.isEmpty() else once.unionByName(among(repeated).dropDuplicates([*key]))
 
 
 def hash_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:

@@ -215,18 +215,10 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def simhash_groups(
-    docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-    id_column: str = "doc_id", text_column: str = "text",
-) -> DataFrame:
-    """(doc_id, fingerprint, component_id), one row per input row.
-
-    Fingerprints within ``max_bits`` differing bits are linked; ``component_id`` is the smallest id in
-    the connected component, over any number of links. Null and empty texts have fingerprint zero, which
-    links like any other; texts of fewer words than a shingle hash as a whole. Rows with equal
-    fingerprints are one node, so copies make no pairs; repeated rows come out as often as they came in.
-    Null ids name a component only if it has no others. An empty table gives no rows.
-    """
+def linked_rows(
+    docs: DataFrame, size: int, max_bits: int, id_column: str, text_column: str,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, fp), fingerprints (fp, first_id, n), and those of them with links (fp, label, first_id)."""
     rows = materialize(
         only_named(docs, doc_id=id_column, text=text_column).select(
             F.col("doc_id").cast("bigint").alias("doc_id"), fingerprints(whole_text(), size).alias("fp")
@@ -239,7 +231,44 @@ def simhash_groups(
     found = materialize(links(distinct.select("fp"), max_bits), "simhash-links")
     nodes = found.select(F.col("a").alias("id")).union(found.select("b")).distinct()
     labels = connected_labels(nodes, found).withColumnRenamed("id", "fp")
-    linked = materialize(distinct.join(labels, "fp").select("fp", "label", "first_id"), "simhash-linked")
+    return rows, distinct, materialize(distinct.join(labels, "fp").select("fp", "label", "first_id"), "simhash-linked")
+
+
+def simhash_heads(
+    docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    id_column: str = "doc_id", text_column: str = "text",
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of the rows that may stand for their group, and (doc_id, n) of ids that tell no row.
+
+    Groups are those of ``simhash_groups``, told apart by their fingerprints. The head of a group has the
+    smallest id and, with that, the smallest fingerprint; a group has a null id for its head only if it has
+    no others. Rows equal in both come out as often as they came in. An id that several rows share, and
+    null, tells a row only together with its fingerprint.
+    """
+    rows, distinct, linked = linked_rows(docs, size, max_bits, id_column, text_column)
+    first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "fp")).alias("head")
+    alone = distinct.join(linked, "fp", "left_anti").select("first_id", F.col("fp").alias("first_fp"))
+    heads = linked.groupBy("label").agg(first).select("head.first_id", F.col("head.fp").alias("first_fp"))
+    heads = materialize(heads.unionByName(alone), "simhash-heads")
+    is_head = [F.col("fp") == F.col("first_fp"), F.col("doc_id").eqNullSafe(F.col("first_id"))]
+    counted = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    shared = materialize(counted.where("n > 1 OR doc_id IS NULL"), "simhash-shared-ids")
+    return materialize(rows.join(heads.hint("merge"), is_head, "left_semi"), "simhash-head-rows"), shared
+
+
+def simhash_groups(
+    docs: DataFrame, size: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
+    id_column: str = "doc_id", text_column: str = "text",
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id), one row per input row.
+
+    Fingerprints within ``max_bits`` differing bits are linked; ``component_id`` is the smallest id in
+    the connected component, over any number of links. Null and empty texts have fingerprint zero, which
+    links like any other; texts of fewer words than a shingle hash as a whole. Rows with equal
+    fingerprints are one node, so copies make no pairs; repeated rows come out as often as they came in.
+    Null ids name a component only if it has no others. An empty table gives no rows.
+    """
+    rows, distinct, linked = linked_rows(docs, size, max_bits, id_column, text_column)
     heads = linked.groupBy("label").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
     heads = materialize(heads, "simhash-heads")
     named = join_groups(linked, heads, "label", "size", linked.count(), "merge").select("fp", "component_id")

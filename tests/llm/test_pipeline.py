@@ -1,5 +1,6 @@
 """The pipeline against its stages worked out by hand, and its behaviour on odd input."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -55,3 +56,20 @@ def test_odd_and_empty_input(spark, small):
         assert single.count() <= told.count() <= len(rows)
         ids = [r["doc_id"] for r in single.collect()]
         assert len(ids) == len(set(ids)) and (not rows or {None, 1, 7} <= set(ids))
+
+
+def test_near_dedup_tells_rows_apart_without_ids(spark, small):
+    draw = random.Random(7)
+    a, b, c, d, e, g, h, k = (" ".join("".join(draw.choices("aeinorst", k=6)) for _ in range(60)) for _ in range(8))
+    rows = [
+        (None, a), (None, b), (None, a),  # unlike texts without ids are documents of their own
+        (4, c), (4, d),  # so are unlike texts under one id
+        (1, e), (9, e.upper()), (9, g),  # one row of 9 heads a group, the other is a near-copy
+        (2, h), (None, h.upper()),  # a near-copy without an id
+        (7, k), (7, k), (8, k),
+    ]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    single = corpus_pipeline.near_dedup(spark, docs, small)
+    assert single.columns == COLUMNS
+    got = Counter((r["doc_id"], r["text"]) for r in single.collect())
+    assert got == Counter([(None, a), (None, b), (4, c), (4, d), (1, e), (9, g), (2, h), (7, k)])
