@@ -12,6 +12,7 @@ from retailscope.llm.mixing import mix
 from retailscope.llm.quality import score_quality
 from retailscope.llm.secret_scan import scan_secrets, secret_report
 from retailscope.llm.simhash import simhash_groups
+from retailscope.llm.token_alignment import align_tokens
 from retailscope.llm.token_counts import count_tokens
 from retailscope.llm.token_shards import token_shards
 from retailscope.llm.url_filter import BLOCKED_WORDS, judge_urls
@@ -61,6 +62,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 EXACT_DEDUP_SQL = """

@@ -9,7 +9,7 @@ from retailscope.llm.queries import QUERIES, SQL
 
 def test_registered():
     assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) and "pipeline" in queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
