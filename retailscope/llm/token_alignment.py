@@ -32,11 +32,13 @@ VOCABULARY_B = "piece_bpe_32k.model"
 PARTS = 32
 RUN_RECORDS = 4 << 20  # links a task sorts at once
 UNIT_BYTES = 48 << 20  # runs a merging task holds, compressed
-MAX_PIECES = 300_000
+MAX_PIECES = 400_000
 MAX_PIECE_BYTES = 64 << 20
+LEARNT_AT_ONCE = 40_000
+JOINED = 100  # pieces encoded as one string
 SPACE = "▁"
 BARE = "\ud800"  # marks a piece that no space leads; no text holds half a surrogate pair
-ODD_SPACE = re.compile(r"[^\S ]|  |^ | $")
+ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$")
 
 
 def byte_of_letter() -> dict[str, int]:
@@ -99,22 +101,6 @@ class Pieces:
         return [ids if t[0] == " " else ids[1:] for t, ids in zip(texts, found)]
 
 
-def aligned(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The tokens in groups, cut wherever one of each ends at the same byte; both cover the same bytes."""
-    groups, i, j, first_a, first_b, end_a, end_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b:
-            end_a += len(bytes_a[a[i]])
-            i += 1
-        else:
-            end_b += len(bytes_b[b[j]])
-            j += 1
-        if end_a == end_b:
-            groups.append((a[first_a:i], b[first_b:j]))
-            first_a, first_b = i, j
-    return groups
-
-
 class AlignedPieces:
     """Pieces of texts and how their tokens align, worked out once for each distinct piece.
 
@@ -127,7 +113,12 @@ class AlignedPieces:
     def __init__(self, vocabulary_a: str, vocabulary_b: str):
         self.a, self.b = ByteLevel(vocabulary_a), Pieces(vocabulary_b)
         self.code = PairCode(self.b.size, self.a.size, PARTS)
-        self.simple = self.b.cuts.startswith(" ")
+        self.lengths = [np.array([len(t) for t in side.bytes]) for side in (self.a, self.b)]
+        self.names = [
+            [np.array([f"{i}{mark}" for i in range(side.size)], dtype=object) for mark in (",", last)]
+            for side, last in ((self.a, "|"), (self.b, ";"))
+        ]
+        self.simple = {" ", "\n"} <= set(self.b.cuts)
         self.cut = re.compile(rf"(?<=\S)(?=[{self.b.cuts}][\s\S])") if self.b.cuts else None
         self.forget()
 
@@ -140,32 +131,73 @@ class AlignedPieces:
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text without the space that leads each; ``BARE`` leads those that none does."""
         if self.simple and not ODD_SPACE.search(text):
-            return text.split(" ")
+            return text.replace("\n", f" {BARE}\n").split(" ")
         parts = self.cut.split(" " + text) if self.cut else [" " + text]
         return [p[1:] if p[0] == " " else BARE + p for p in parts]
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.number) > MAX_PIECES or self.held > MAX_PIECE_BYTES:
             self.forget()
-        new = sorted({p for pieces in texts for p in pieces if p not in self.number})
+        new = list({p for pieces in texts for p in pieces if p not in self.number})
+        for low in range(0, len(new), LEARNT_AT_ONCE):
+            self.learn_some(new[low : low + LEARNT_AT_ONCE])
+
+    def learn_some(self, new: list[str]) -> None:
+        """Encode pieces in strings of many, which may be cut again wherever a piece may; odd ones alone."""
         whole = [p[1:] if p.startswith(BARE) else " " + p for p in new]
-        sizes, links, counts = [], [], []
-        for low in range(0, len(new), 20_000):
-            part = whole[low : low + 20_000]
-            for piece, a, b in zip(part, self.a.encode(part), self.b.encode(part)):
-                content = piece.encode()
-                same = b"".join([self.a.bytes[i] for i in a]) == content == b"".join([self.b.bytes[i] for i in b])
-                groups = aligned(a, b, self.a.bytes, self.b.bytes) if same else []
-                sizes.append((len(a), len(b), len(groups), not same))
-                links += [self.code.of(y[-1], x[-1]) for x, y in groups]
-                counts.append(len(groups))
-                self.groups.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups]))
-                self.held += len(content) + len(self.groups[-1])
-        if new:
-            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-            self.sizes = np.concatenate([self.sizes, np.array(sizes, dtype=np.int64)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-            self.links = np.concatenate([self.links, np.array(links, dtype=np.int64)])
+        joined: list[list[int]] = []
+        for place, piece in enumerate(whole):
+            if piece[-1].isspace() or not piece[0] in self.b.cuts or not joined or len(joined[-1]) >= JOINED or whole[joined[-1][-1]][-1].isspace():
+                joined.append([place])
+            else:
+                joined[-1].append(place)
+        texts = ["".join([whole[i] for i in own]) for own in joined]
+        found = list(zip(joined, texts, self.a.encode(texts), self.b.encode(texts)))
+        right = [f for f in found if self.same_bytes(*f[1:])]
+        if len(right) < len(found):
+            doubtful = [i for own, *f in found if not self.same_bytes(*f) for i in own]
+            alone = [whole[i] for i in doubtful]
+            again = [([i], *f) for i, *f in zip(doubtful, alone, self.a.encode(alone), self.b.encode(alone))]
+            right += [f for f in again if self.same_bytes(*f[1:])]
+        self.keep(new, whole, right)
+
+    def same_bytes(self, text: str, a: list[int], b: list[int]) -> bool:
+        content = text.encode()
+        return b"".join([self.a.bytes[i] for i in a]) == content == b"".join([self.b.bytes[i] for i in b])
+
+    def keep(self, new: list[str], whole: list[str], right: list[tuple]) -> None:
+        """Note sizes, links and written groups of the pieces in ``right``; the others' bytes differ.
+
+        All strings lie behind each other on one axis of bytes: tokens group up to each common end, and a
+        piece has the groups that end inside it.
+        """
+        order = np.array([i for own, *_ in right for i in own], dtype=np.int64)
+        ends = np.cumsum([len(whole[i].encode()) for i in order])
+        ids = [np.array([i for f in right for i in f[side]], dtype=np.int64) for side in (2, 3)]
+        ended = [np.cumsum(lengths[own]) for lengths, own in zip(self.lengths, ids)]
+        common = np.intersect1d(*ended, assume_unique=True)
+        piece = np.searchsorted(ends, common)
+        sizes = np.zeros((len(new), 4), dtype=np.int64)
+        sizes[:, 3] = 1
+        sizes[order] = np.stack([*(np.bincount(np.searchsorted(ends, e), minlength=len(order)) for e in (*ended, common)), 0 * order], axis=1)
+        marked, groups = [], []
+        for own, end, (inner, last) in zip(ids, ended, self.names):
+            marked.append(np.where(np.isin(end, common, assume_unique=True), last[own], inner[own]))
+            groups.append(np.searchsorted(common, end))
+        sides = np.concatenate([2 * groups[0], 2 * groups[1] + 1])
+        written = np.concatenate(marked)[np.argsort(sides, kind="stable")].tolist()
+        tokens = np.cumsum(sizes[order, 0] + sizes[order, 1]).tolist()
+        names = [""] * len(new)
+        for i, low, high in zip(order.tolist(), [0, *tokens], tokens):
+            names[i] = "".join(written[low:high])[:-1]
+        links = self.code.of(ids[1][np.searchsorted(ended[1], common)], ids[0][np.searchsorted(ended[0], common)])
+        links = links[np.argsort(order[piece], kind="stable")]
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes[:, 2])])
+        self.links = np.concatenate([self.links, links])
+        self.groups += names
+        self.held += sum(map(len, names)) + sum(map(len, whole))
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """(tokens A, tokens B, groups) and a digest of the groups for each text; links and the texts they are in.
