@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from retailscope.llm.common import documents
 from retailscope.llm.decontaminate import contamination, decontaminate
@@ -12,10 +13,12 @@ from retailscope.llm.mixing import mix
 from retailscope.llm.quality import score_quality
 from retailscope.llm.secret_scan import scan_secrets, secret_report
 from retailscope.llm.simhash import simhash_groups
+from retailscope.llm.source_audit import audit_sources
 from retailscope.llm.token_alignment import align_tokens
 from retailscope.llm.token_counts import count_tokens
 from retailscope.llm.token_shards import token_shards
 from retailscope.llm.url_filter import BLOCKED_WORDS, judge_urls
+from retailscope.llm.vector_search import nearest_neighbours
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +69,15 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokens(documents(spark, sf_dir))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(documents(spark, sf_dir))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest_neighbours(points, points.where(F.col("vec_id") % 100 == 0))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -78,6 +90,8 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_source_audit": op12_source_audit,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 EXACT_DEDUP_SQL = """
@@ -171,9 +185,42 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+AUDIT_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+counted AS (
+    SELECT doc, lang, source, term, count(*) AS n FROM (SELECT doc, lang, source, unnest(w) AS term FROM docs)
+    GROUP BY doc, lang, source, term),
+kept AS (SELECT lang, term, sum(n) AS n FROM counted GROUP BY lang, term HAVING count(*) >= 3),
+held AS (SELECT c.lang, source, term, sum(c.n) AS n FROM counted c JOIN kept USING (lang, term) GROUP BY c.lang, source, term),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS words FROM kept GROUP BY lang),
+groups_ AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (
+    SELECT g.lang, g.source, coalesce(sum(n), 0) AS words FROM groups_ g LEFT JOIN held USING (lang, source) GROUP BY g.lang, g.source),
+shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(h.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(h.n, 0) + 1)::HUGEINT) // (s.words + v)::HUGEINT AS p,
+           1 + (1000000000::HUGEINT * (k.n + 1)::HUGEINT) // (l.words + v)::HUGEINT AS q
+    FROM sizes s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN held h USING (lang, source, term)),
+apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM shares a JOIN shares b USING (lang, term) GROUP BY a.lang, a.source, b.source),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN apart p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, place::INTEGER AS rank FROM ranked WHERE part = 'pair' OR place <= 200
+"""
+
 SQL = {
     "op1_exact_dedup": EXACT_DEDUP_SQL,
     "op3_decontamination": DECONTAMINATION_SQL,
     "op7_mixing": MIXING_SQL,
     "op8_url_filter": URL_SQL,
+    "op12_source_audit": AUDIT_SQL,
 }
