@@ -1,8 +1,8 @@
-"""Classifiers and regressors on Spark ML, cross-validated on fixed stratified folds.
+"""Classifiers and regressors, cross-validated on fixed stratified folds.
 
-Scale-sensitive models carry their scaler inside the saved pipeline, so scoring raw features is always
-right. Boosted trees replace level-wise and leaf-wise boosting libraries by Spark's gradient boosting;
-depths 4 and 5 stand for 15 and 31 leaves.
+Every search shares its work between settings and folds: one forest serves the smaller and shallower ones,
+Newton steps of all penalties and folds are sums of the same pass, nearest neighbours are looked up once for
+all numbers and weights. Scale-sensitive models carry their scaler, so scoring raw features is always right.
 """
 
 from __future__ import annotations
@@ -11,31 +11,38 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from math import isqrt
 from typing import Any
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier,
-)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailscope.config import FEATURE_COLUMNS
+from retailscope.functions.growth import Boosting, Limits
 from retailscope.functions.ranks import exact_quantiles
+from retailscope.functions.trees import rmse, roc_auc
+from retailscope.operators.logistic import NO_FOLD, LinearModel, newton
 from retailscope.operators.metrics import classification_metrics, regression_metrics
-from retailscope.operators.neighbours import knn_classify
+from retailscope.operators.neighbours import knn_classify, knn_grid_scores
 from retailscope.operators.prep import apply_scaler, class_weights, fit_scaler, one_row
+from retailscope.operators.tree_models import (
+    MAX_SAMPLE_ROWS, TreeModel, bin_edges, bounded_sample, fit_boosted, fit_forest, fit_tree,
+    search_boosted, search_trees, training_rows,
+)
+from retailscope.sources.shared import materialize
+
+Model = PipelineModel | TreeModel | LinearModel
+Fitted = tuple[Model, dict[str, Any], float | None]
 
 FOLDS = 5
 SEED = 42
 LABEL = "churned"
-UNLIMITED_DEPTH = 30  # the deepest Spark grows; stands for "no depth limit"
 
 LOG_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -56,56 +63,106 @@ LOG_SCHEMA = T.StructType([
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """One classifier: how to build it, its search grid and the setting used without a search."""
+    """One classifier: how to fit it, its search grid and the setting used without a search.
+
+    ``fit`` takes weighted training rows and the settings to choose from by ROC AUC over ``fold``.
+    """
 
-    build: Callable[[Mapping[str, Any], int], Estimator]
+    fit: Callable[[DataFrame, Sequence[Mapping[str, Any]]], Fitted]
     grid: Mapping[str, Sequence[Any]]
     chosen: Mapping[str, Any]
-    scaled: bool = False
     weight: str | None = None
     tree_based: bool = field(default=False)
 
 
-def _logistic(p: Mapping[str, Any], n_train: int) -> Estimator:
-    # a penalty of 1/(C n) on the mean loss equals C on the summed loss
-    return LogisticRegression(
-        labelCol=LABEL, featuresCol="vector", maxIter=1000, regParam=1.0 / (p["C"] * max(n_train, 1)),
-        elasticNetParam=0.0, standardization=False,
-    )
+def best_place(scores: Sequence[Sequence[float]], larger: bool = True) -> tuple[int, float]:
+    """The setting with the best mean over the folds, the first among equals."""
+    means = [sum(own) / len(own) for own in scores]
+    at = (max if larger else min)(range(len(means)), key=means.__getitem__)
+    return at, means[at]
+
+
+def _logistic(train: DataFrame, options: Sequence[Mapping[str, Any]]) -> Fitted:
+    scaler = fit_scaler(train, FEATURE_COLUMNS).first()  # one row
+    means, deviations = zip(*[(float(scaler[f"{c}_mean"]), float(scaler[f"{c}_std"] or 1.0)) for c in FEATURE_COLUMNS])
+    scores = [(F.col(c).cast("double") - m) / d for c, m, d in zip(FEATURE_COLUMNS, means, deviations)]
+    fold = F.col("fold").cast("int") if "fold" in train.columns else F.lit(0)
+    rows = materialize(train.select(F.array(*scores).alias("vector"), F.col(LABEL).cast("double").alias("label"), fold.alias("fold"),
+                                    F.xxhash64("customer_id").alias("key"), F.lit(1.0).alias("weight")), "logistic-rows")
+    folds = range(FOLDS) if len(options) > 1 else ()
+    models = [(o, f) for o in range(len(options)) for f in (NO_FOLD, *folds)]
+    found = newton(rows, len(FEATURE_COLUMNS), [1.0 / options[o]["C"] for o, _ in models], [f for _, f in models])
+    at, score = 0, None
+    if folds:
+        sample = bounded_sample(rows, [], MAX_SAMPLE_ROWS, values=True)
+        aucs = [[0.0] * FOLDS for _ in options]
+        for (o, f), w in zip(models, found):
+            if f != NO_FOLD:
+                held = sample.folds == f
+                aucs[o][f] = roc_auc(sample.labels[held], sample.bins[held] @ w[:-1])
+        at, score = best_place(aucs)
+    weights = found[models.index((at, NO_FOLD))]
+    model = LinearModel(tuple(FEATURE_COLUMNS), means, deviations, tuple(weights[:-1].tolist()), float(weights[-1]))
+    return model, dict(options[at]), score
+
+
+def _rows_and_sample(train: DataFrame, label: str = LABEL):
+    rows = materialize(training_rows(train, FEATURE_COLUMNS, label, F.col("weight")), "training-rows")
+    edges = bin_edges(rows, len(FEATURE_COLUMNS))
+    return rows, edges, bounded_sample(rows, edges, MAX_SAMPLE_ROWS)
+
+
+def _tree(train: DataFrame, options: Sequence[Mapping[str, Any]]) -> Fitted:
+    rows, edges, sample = _rows_and_sample(train)
+    at, score = 0, None
+    if len(options) > 1:
+        at, score = best_place(search_trees(train.sparkSession, sample, options, FOLDS, roc_auc, SEED, bagged=False))
+    best = options[at]
+    limits = Limits(least_rows=best["min_samples_leaf"], depth=best["max_depth"])
+    return fit_tree(rows, FEATURE_COLUMNS, edges, limits), dict(best), score
 
 
-def _tree(p: Mapping[str, Any], n_train: int) -> Estimator:
-    return DecisionTreeClassifier(
-        labelCol=LABEL, featuresCol="vector", maxDepth=p["max_depth"] or UNLIMITED_DEPTH,
-        minInstancesPerNode=p["min_samples_leaf"], seed=SEED,
-    )
+def _forest(train: DataFrame, options: Sequence[Mapping[str, Any]]) -> Fitted:
+    _, _, sample = _rows_and_sample(train)
+    spark, wide, at, score = train.sparkSession, isqrt(len(FEATURE_COLUMNS)), 0, None
+    if len(options) > 1:
+        at, score = best_place(search_trees(spark, sample, options, FOLDS, roc_auc, SEED, wide))
+    best = options[at]
+    limits = Limits(least_rows=best["min_samples_leaf"], depth=best["max_depth"])
+    return fit_forest(spark, sample, FEATURE_COLUMNS, best["n_estimators"], limits, SEED, wide), dict(best), score
 
 
-def _forest(p: Mapping[str, Any], n_train: int) -> Estimator:
-    return RandomForestClassifier(
-        labelCol=LABEL, featuresCol="vector", numTrees=p["n_estimators"], maxDepth=p["max_depth"] or UNLIMITED_DEPTH,
-        minInstancesPerNode=p["min_samples_leaf"], weightCol="weight", seed=SEED,
-    )
+def boosting(p: Mapping[str, Any]) -> Boosting:
+    """The published defaults of both kinds; ``num_leaves`` asks for leaf-wise growth."""
+    by_leaf = "num_leaves" in p
+    limits = Limits(0.0, 1e-3, 20, leaves=p["num_leaves"]) if by_leaf else Limits(1.0, 1.0, 1, depth=p["max_depth"])
+    return Boosting(p["n_estimators"], p["learning_rate"], limits, by_leaf, p.get("subsample", 1.0), p.get("colsample", 1.0), SEED)
 
 
-def _boosted(p: Mapping[str, Any], n_train: int) -> Estimator:
-    return GBTClassifier(
-        labelCol=LABEL, featuresCol="vector", maxIter=p["n_estimators"], stepSize=p["learning_rate"],
-        maxDepth=p["max_depth"], subsamplingRate=p.get("subsample", 1.0),
-        featureSubsetStrategy=str(p.get("colsample", "all")), weightCol="weight", seed=SEED,
-    )
+def _boosted(train: DataFrame, options: Sequence[Mapping[str, Any]]) -> Fitted:
+    rows, edges, sample = _rows_and_sample(train)
+    at, score = 0, None
+    if len(options) > 1:
+        at, score = best_place(search_boosted(train.sparkSession, sample, [boosting(o) for o in options], FOLDS))
+    return fit_boosted(rows, FEATURE_COLUMNS, edges, boosting(options[at])), dict(options[at]), score
 
 
-def _perceptron(p: Mapping[str, Any], n_train: int) -> Estimator:
-    return MultilayerPerceptronClassifier(
-        labelCol=LABEL, featuresCol="vector", layers=[len(FEATURE_COLUMNS), *p["hidden"], 2],
-        maxIter=p["max_iter"], seed=SEED,
-    )
+def _perceptron(train: DataFrame, options: Sequence[Mapping[str, Any]]) -> Fitted:
+    """One setting; the scaler is a stage of the saved pipeline."""
+    p = options[0]
+    stages = [scaler_stage(train, FEATURE_COLUMNS), VectorAssembler(inputCols=[f"z_{c}" for c in FEATURE_COLUMNS], outputCol="vector")]
+    ready = train
+    for stage in stages:
+        ready = stage.transform(ready)
+    layers = [len(FEATURE_COLUMNS), *p["hidden"], 2]
+    fitted = MultilayerPerceptronClassifier(
+        labelCol=LABEL, featuresCol="vector", layers=layers, maxIter=p["max_iter"], seed=SEED).fit(ready)
+    return PipelineModel(stages=[*stages, fitted]), dict(p), None
 
 
 # Search grids and the published best settings.
 CLASSIFIERS: dict[str, ModelSpec] = {
-    "logistic_regression": ModelSpec(_logistic, {"C": [0.01, 0.1, 1.0, 10.0]}, {"C": 1.0}, scaled=True),
+    "logistic_regression": ModelSpec(_logistic, {"C": [0.01, 0.1, 1.0, 10.0]}, {"C": 1.0}),
     "decision_tree": ModelSpec(
         _tree, {"max_depth": [3, 5, 8, None], "min_samples_leaf": [1, 5, 10]},
         {"max_depth": 3, "min_samples_leaf": 10}, tree_based=True,
@@ -116,17 +173,15 @@ CLASSIFIERS: dict[str, ModelSpec] = {
     ),
     "boosted_trees": ModelSpec(
         _boosted,
-        {"learning_rate": [0.05, 0.1], "max_depth": [3, 5], "subsample": [0.8, 1.0], "colsample": ["0.8", "all"],
+        {"learning_rate": [0.05, 0.1], "max_depth": [3, 5], "subsample": [0.8, 1.0], "colsample": [0.8, 1.0],
          "n_estimators": [200]},
         {"learning_rate": 0.05, "max_depth": 3, "n_estimators": 200}, weight="positive", tree_based=True,
     ),
     "boosted_trees_by_leaf": ModelSpec(
-        _boosted, {"learning_rate": [0.05, 0.1], "max_depth": [4, 5], "n_estimators": [200]},
-        {"learning_rate": 0.05, "max_depth": 4, "n_estimators": 200}, weight="balanced", tree_based=True,
-    ),
-    "perceptron": ModelSpec(
-        _perceptron, {"hidden": [(64, 32)], "max_iter": [200]}, {"hidden": (64, 32), "max_iter": 200}, scaled=True
+        _boosted, {"learning_rate": [0.05, 0.1], "num_leaves": [15, 31], "n_estimators": [200]},
+        {"learning_rate": 0.05, "num_leaves": 15, "n_estimators": 200}, weight="balanced", tree_based=True,
     ),
+    "perceptron": ModelSpec(_perceptron, {"hidden": [(64, 32)], "max_iter": [200]}, {"hidden": (64, 32), "max_iter": 200}),
 }
 KNN_GRID = {"n_neighbors": [5, 11, 21], "weights": ["uniform", "distance"]}
 KNN_CHOSEN = {"n_neighbors": 21, "weights": "uniform"}
@@ -147,14 +202,6 @@ def scaler_stage(train: DataFrame, columns: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {scores} FROM __THIS__")
 
 
-def stages_for(train: DataFrame, spec: ModelSpec, columns: Sequence[str] = FEATURE_COLUMNS) -> list:
-    """The pipeline stages before the estimator."""
-    if spec.scaled:
-        names = [f"z_{c}" for c in columns]
-        return [scaler_stage(train, columns), VectorAssembler(inputCols=names, outputCol="vector")]
-    return [VectorAssembler(inputCols=list(columns), outputCol="vector")]
-
-
 def weighted(train: DataFrame, kind: str | None) -> DataFrame:
     """Add ``weight`` per class; the two weights are read once."""
     if kind is None:
@@ -171,56 +218,21 @@ def positive_probability(column: str = "probability") -> Column:
     return vector_to_array(F.col(column))[1]
 
 
-def fit_classifier(
-    train: DataFrame, name: str, grid: Sequence[Mapping[str, Any]] | None = None, parallelism: int = 4
-) -> tuple[PipelineModel, dict[str, Any], float | None]:
+def fit_classifier(train: DataFrame, name: str, grid: Sequence[Mapping[str, Any]] | None = None) -> Fitted:
     """Fit one classifier; with several settings, search them by ROC AUC over the ``fold`` column.
 
-    Returns the fitted pipeline, the setting used and its cross-validated ROC AUC.
+    Returns the fitted model, the setting used and its cross-validated ROC AUC.
     """
     spec = CLASSIFIERS[name]
     options = [dict(g) for g in (grid if grid is not None else [spec.chosen])]
-    rows = weighted(train, spec.weight)
-    before = stages_for(rows, spec)
-    prepared = Pipeline(stages=before).fit(rows)
-    columns = ["vector", LABEL, "weight"] + (["fold"] if "fold" in rows.columns else [])
-    ready = prepared.transform(rows).select(*columns).persist()
-    try:
-        n_train = ready.count()
-        best, score = options[0], None
-        if len(options) > 1:
-            evaluator = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="rawPrediction")
-            at, score, fitted = searched(ready, [spec.build(o, n_train) for o in options], evaluator, FOLDS, parallelism)
-            best = options[at]
-        else:
-            fitted = spec.build(best, n_train).fit(ready)
-    finally:
-        ready.unpersist()
-    return PipelineModel(stages=[*prepared.stages, fitted]), best, score
-
-
-def searched(
-    rows: DataFrame, estimators: Sequence[Estimator], evaluator, folds: int, parallelism: int = 4
-) -> tuple[int, float, Any]:
-    """Cross-validate estimators of one kind over ``fold`` in a single search.
-
-    Returns the place of the best one, its mean metric and its fit on all rows. Fits of all settings run
-    side by side, ``parallelism`` at a time.
-    """
-    base = estimators[0]
-    maps = [{base.getParam(p.name): v for p, v in e.extractParamMap().items() if e.isSet(p)} for e in estimators]
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, foldCol="fold", parallelism=parallelism,
-    ).fit(rows)
-    pick = max if evaluator.isLargerBetter() else min
-    at = pick(range(len(maps)), key=lambda i: search.avgMetrics[i])
-    return at, float(search.avgMetrics[at]), search.bestModel
+    return spec.fit(weighted(train, spec.weight), options)
 
 
-def score_with(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score_with(model: Model, rows: DataFrame) -> DataFrame:
     """Rows with ``probability`` of churn and the 0.5 decision as ``predicted``."""
     kept = [F.col(c) for c in rows.columns]
-    scored = model.transform(rows).select(*kept, positive_probability().alias("probability"))
+    chance = positive_probability() if isinstance(model, PipelineModel) else F.col("probability")
+    scored = model.transform(rows).select(*kept, chance.alias("probability"))
     return scored.withColumn("predicted", F.col("probability") >= 0.5)
 
 
@@ -237,7 +249,7 @@ def _log_row(name: str, best: Mapping[str, Any], cv: float | None, seconds: floa
 
 def train_and_log(
     split_rows: DataFrame, name: str, grid: Sequence[Mapping[str, Any]] | None = None
-) -> tuple[PipelineModel | None, DataFrame]:
+) -> tuple[Model | None, DataFrame]:
     """Train on the train split, judge on val and test, return the model and its log row."""
     train = split_rows.where(F.col("split") == "train")
     held_out = split_rows.where(F.col("split") != "train")
@@ -264,35 +276,26 @@ def _fit_knn(train: DataFrame, held_out: DataFrame, grid: Sequence[Mapping[str,
     options = [dict(g) for g in (grid if grid is not None else [KNN_CHOSEN])]
     best, cv = options[0], None
     if len(options) > 1:
-        scores = []
-        for option in options:
-            per_fold = [
-                classification_metrics(
-                    vote(near.where(F.col("fold") == i), near.where(F.col("fold") != i), option),
-                    LABEL, "predicted", "probability",
-                ).first()["roc_auc"]
-                for i in range(FOLDS)
-            ]
-            scores.append(sum(per_fold) / FOLDS)
-        at = max(range(len(options)), key=lambda i: scores[i])
-        best, cv = options[at], scores[at]
+        at, cv = best_place(knn_grid_scores(near, FEATURE_COLUMNS, options, FOLDS))
+        best = options[at]
     return best, cv, vote(asked, near, best)
 
 
 def train_all(
     split_rows: DataFrame, grids: Mapping[str, Sequence[Mapping[str, Any]] | None]
-) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Train every named model; a failing one is logged as skipped with its reason."""
-    models: dict[str, PipelineModel] = {}
+) -> tuple[dict[str, Model], DataFrame]:
+    """Train every named model; one that cannot be fitted is logged with the reason and the others go on."""
+    models: dict[str, Model] = {}
     log: DataFrame | None = None
     for name, grid in grids.items():
         try:
             model, row = train_and_log(split_rows, name, grid)
             if model is not None:
                 models[name] = model
-        except ImportError as missing:
+        except Exception as error:  # any family may fail on its own
             empty = [None] * (len(LOG_SCHEMA) - 3)
-            row = split_rows.sparkSession.createDataFrame([(name, "skipped", str(missing), *empty)], LOG_SCHEMA)
+            status = "skipped" if isinstance(error, ImportError) else "failed"
+            row = split_rows.sparkSession.createDataFrame([(name, status, f"{type(error).__name__}: {error}", *empty)], LOG_SCHEMA)
         log = row if log is None else log.unionByName(row)
     return models, log
 
@@ -306,29 +309,17 @@ def full_grids() -> dict[str, list[dict[str, Any]]]:
 
 def train_clv_regressor(
     rows: DataFrame, target: str, grid: Sequence[Mapping[str, Any]] | None = None, folds: int = FOLDS
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[TreeModel, DataFrame]:
     """Random forest for future spend, searched by RMSE over ``fold``; error on the test split."""
-    train = rows.where(F.col("split") == "train")
-    assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="vector")
+    train = rows.where(F.col("split") == "train").withColumn("weight", F.lit(1.0))
     options = list(grid if grid is not None else settings(CLV_GRID))
-    ready = assembler.transform(train).persist()
-
-    def forest(o: Mapping[str, Any]) -> RandomForestRegressor:
-        return RandomForestRegressor(
-            labelCol=target, featuresCol="vector", numTrees=o["n_estimators"],
-            maxDepth=o["max_depth"] or UNLIMITED_DEPTH, seed=SEED,
-        )
-
-    try:
-        best = options[0]
-        if len(options) > 1:
-            evaluator = RegressionEvaluator(labelCol=target, metricName="rmse")
-            _, _, fitted = searched(ready, [forest(o) for o in options], evaluator, folds)
-        else:
-            fitted = forest(best).fit(ready)
-        model = PipelineModel(stages=[assembler, fitted])
-    finally:
-        ready.unpersist()
+    _, _, sample = _rows_and_sample(train, target)
+    best = options[0]
+    if len(options) > 1:
+        at, _ = best_place(search_trees(rows.sparkSession, sample, options, folds, rmse, SEED), larger=False)
+        best = options[at]
+    model = fit_forest(
+        rows.sparkSession, sample, FEATURE_COLUMNS, best["n_estimators"], Limits(depth=best["max_depth"]), SEED, link="value")
     judged = model.transform(rows.where(F.col("split") == "test"))
     return model, regression_metrics(judged, target, "prediction")
 

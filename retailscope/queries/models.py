@@ -32,12 +32,16 @@ def split_rows(spark: SparkSession, folder: str) -> DataFrame:
     return written_once("split-features", spark, folder, build)
 
 
+def whole_grid(name: str) -> list[dict]:
+    return models.settings(models.KNN_GRID if name == "knn" else models.CLASSIFIERS[name].grid)
+
+
 def fitted_log(name: str):
-    """A query that trains one model with its published setting and returns its log row."""
+    """A query that searches a model's whole grid over the five folds and returns its log row."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         def build() -> DataFrame:
-            return models.train_and_log(split_rows(spark, folder), name)[1]
+            return models.train_and_log(split_rows(spark, folder), name, whole_grid(name))[1]
 
         return written_once(f"log-{name}", spark, folder, build)
 
@@ -64,13 +68,12 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.rank_models(log, "val_roc_auc").drop("train_time_sec")
 
 
+model_lr, model_dt = LOGS["model_lr"], LOGS["model_dt"]
+
+
 def cv_search(spark: SparkSession, folder: str) -> DataFrame:
     """The full grids of logistic regression and the decision tree over the five folds."""
-    logs = [
-        models.train_and_log(split_rows(spark, folder), name, models.settings(models.CLASSIFIERS[name].grid))[1]
-        for name in ("logistic_regression", "decision_tree")
-    ]
-    return logs[0].unionByName(logs[1])
+    return model_lr(spark, folder).unionByName(model_dt(spark, folder))
 
 
 def future_spend(spark: SparkSession, folder: str) -> DataFrame:

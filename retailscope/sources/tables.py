@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailscope.config import FALLBACK_MODEL_NAME, FEATURE_COLUMNS, MODEL_VERSION
+from retailscope.operators.logistic import LinearModel
+from retailscope.operators.tree_models import TreeModel
 from retailscope.sources.transactions import path_exists
 
 SCORING_SCHEMA = T.StructType(
@@ -102,14 +104,22 @@ def read_scoring_csv(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*[known[f.name].alias(f.name) for f in SCORING_SCHEMA if f.name in known], "corrupt_record")
 
 
-def save_model(model: PipelineModel, folder: str, name: str) -> str:
+def save_model(model: PipelineModel | TreeModel | LinearModel, folder: str, name: str) -> str:
+    """Write a model: a pipeline in Spark's format, trees and linear models as tables."""
     path = f"{folder}/{name}"
-    model.write().overwrite().save(path)
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(SparkSession.active(), path)
     return path
 
 
-def load_model(folder: str, name: str) -> PipelineModel:
-    return PipelineModel.load(f"{folder}/{name}")
+def load_model(folder: str, name: str) -> PipelineModel | TreeModel | LinearModel:
+    spark, path = SparkSession.active(), f"{folder}/{name}"
+    if path_exists(spark, f"{path}/stages"):
+        return PipelineModel.load(path)
+    kind = TreeModel if "tree" in spark.read.parquet(path).columns else LinearModel
+    return kind.load(spark, path)
 
 
 def append_metadata(spark: SparkSession, path: str, record: dict[str, Any]) -> None:
