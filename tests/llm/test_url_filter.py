@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from retailscope.llm import url_filter as U
 
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -24,7 +26,7 @@ def brute(url):
     if fits:
         rule, verdict = max(fits, key=lambda f: len(f[0]))
         return host, path, rule, verdict
-    blocked = any(re.search(rf"(?<![A-Za-z0-9]){w}(?![A-Za-z0-9])", host + path) for w in U.BLOCKED_WORDS)
+    blocked = any(re.search(rf"(?<![a-z0-9]){w}(?![a-z0-9])", re.sub("[A-Z]", lambda m: m[0].lower(), host + path)) for w in U.BLOCKED_WORDS)
     return host, path, None, "block" if blocked else "allow"
 
 
@@ -56,5 +58,44 @@ def test_only_fetched_rules_run(spark):
     assert [r["verdict"] for r in sorted(got)] == ["block", "allow", "allow"]
 
 
+LIST = """! a filter list
+# comment
+
+||ads.example.org^
+@@||ads.example.org/fair
+||Tracker.net/p/
+*/banner/*.gif*
+@@*/banner/ours/*
+Casino
+free-download
+"""
+
+
+def test_a_list_of_thousands_of_rules(spark, tmp_path):
+    path = tmp_path / "list.txt"
+    path.write_text(LIST + "".join(f"||host{i}.example.org/x{i % 7}/\n*/part{i}/*end{i}.js*\nword-{i}\n" for i in range(1500)))
+    rules = U.read_rules(spark, str(path))
+    assert len(rules) == 7 + 4500
+    urls = {
+        "http://a.ads.example.org/x": "block", "http://ads.example.org/fair/1": "allow", "http://tracker.net/p/1": "block", "http://tracker.net/P/1": "allow",
+        "http://b.org/banner/1.gif": "block", "http://b.org/banner/ours/1.gif": "allow", "http://b.org/BANNER/1.GIF": "block",
+        "http://b.org/CASINO": "block", "http://b.org/casinos": "allow", "http://host77.example.org/x0/": "block", "http://host77.example.org/x1/": "allow",
+        "http://b.org/part9/a/end9.js": "block", "http://b.org/part9/a/end8.js": "allow", "http://b.org/a/word-1499": "block", "http://b.org/word-1500": "allow",
+    }
+    got = U.judge_urls(pages(spark, list(urls)), rules).collect()
+    assert {list(urls)[r["page_id"]]: r["verdict"] for r in got} == urls
+    counts = U.token_counts(spark.createDataFrame([("b.org", "/part9/end8.js"), ("b.org", "/other")], "host string, path string"), ["org", "part9", "end9"])
+    assert counts == {"org": 2, "part9": 1}
+    by_token, always = U.token_index(rules, {"example": 9, "org": 9, "x0": 5})
+    assert max(map(len, by_token.values())) < 300 and not always
+    with pytest.raises(ValueError):
+        U.read_rules(spark, str(path), most_bytes=1000)
+
+
+def test_very_long_urls_are_judged_whole(spark):
+    urls = ["http://a.org/" + "x/" * 100_000 + "casino", "http://a.org/" + "y" * 300_000]
+    assert [r["verdict"] for r in sorted(U.judge_urls(pages(spark, urls)).collect())] == ["block", "allow"]
+
+
 def test_no_pages(spark):
     assert U.judge_urls(pages(spark, [])).count() == 0
