@@ -19,7 +19,8 @@ from retailscope.llm.common import only_named, whole_text, worker_state
 
 DIMENSIONS = 1024
 NGRAM = 3
-SYMBOLS = 512  # letter vectors; 0 is the gap between words
+SYMBOLS = 0x110000  # a letter's symbol is the code point of its lower case; 0 is the gap between words
+MAX_LANGUAGES = 2000  # prototypes a model holds: those of the languages with the most training texts
 SEED = 9
 UNDECIDED = "und"
 TEXTS_AT_ONCE = 64
@@ -27,30 +28,36 @@ CHARS_AT_ONCE = 1 << 20
 
 
 def letter_symbols() -> np.ndarray:
-    """The symbol of every code point: letters by their lower case, everything else 0.
-
-    Common letters keep a symbol of their own, rarer ones share the rest.
-    """
-    own = 384
-    table = np.zeros(0x110000, dtype=np.int32)
-    for point in range(0x110000):
+    """The symbol of every code point: letters by their lower case, everything else 0."""
+    table = np.zeros(SYMBOLS, dtype=np.int32)
+    for point in range(SYMBOLS):
         char = chr(point)
         if char.isalpha():
-            low = ord(char.lower()[0])
-            table[point] = low - 96 if 97 <= low <= 122 else 27 + low - 0xDF if 0xDF <= low < 0xDF + own - 27 else own + low % (SYMBOLS - own)
+            table[point] = ord(char.lower()[0])
     return table
 
 
-def letter_vectors() -> np.ndarray:
-    draws = np.random.default_rng(SEED).integers(0, 2, size=(SYMBOLS, DIMENSIONS), dtype=np.int8)
-    return draws * 2 - 1
+class LetterVectors:
+    """Random vectors of letters, each drawn from its symbol alone when the letter is first met."""
+
+    def __init__(self):
+        self.place = np.full(SYMBOLS, -1, dtype=np.int32)
+        self.drawn = np.zeros((0, DIMENSIONS), dtype=np.int8)
+
+    def of(self, symbols: np.ndarray) -> np.ndarray:
+        new = np.unique(symbols[self.place[symbols] < 0])
+        if len(new):
+            draws = [np.random.default_rng([SEED, int(s)]).integers(0, 2, DIMENSIONS, dtype=np.int8) * 2 - 1 for s in new]
+            self.place[new] = len(self.drawn) + np.arange(len(new))
+            self.drawn = np.concatenate([self.drawn, draws])
+        return self.drawn[self.place[symbols]]
 
 
-def bound(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+def bound(codes: np.ndarray, letters: LetterVectors) -> np.ndarray:
     """The vectors of n-gram codes (base ``SYMBOLS`` numbers)."""
     out = np.ones((len(codes), DIMENSIONS), dtype=np.int8)
     for place in range(NGRAM):
-        out *= np.roll(letters, place, axis=1)[codes // SYMBOLS**place % SYMBOLS]
+        out *= np.roll(letters.of(codes // SYMBOLS**place % SYMBOLS), place, axis=1)
     return out
 
 
@@ -85,7 +92,7 @@ def gram_counts(text: str, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.bincount(place, weights=np.concatenate([n for _, n in counted])).astype(np.int64)
 
 
-def bundles(texts: list[str], table: np.ndarray, letters: np.ndarray) -> np.ndarray:
+def bundles(texts: list[str], table: np.ndarray, letters: LetterVectors) -> np.ndarray:
     """One vector per text: its n-gram counts times the n-grams' vectors, for some texts at a time."""
     out = np.zeros((len(texts), DIMENSIONS), dtype=np.float32)
     for start in range(0, len(texts), TEXTS_AT_ONCE):
@@ -100,16 +107,20 @@ def bundles(texts: list[str], table: np.ndarray, letters: np.ndarray) -> np.ndar
     return out
 
 
-def tables() -> tuple[np.ndarray, np.ndarray]:
-    return worker_state("langid", SEED, lambda: (letter_symbols(), letter_vectors()))
+def tables() -> tuple[np.ndarray, LetterVectors]:
+    return worker_state("langid", SEED, lambda: (letter_symbols(), LetterVectors()))
 
 
 def fit_prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     """Prototypes of all languages from every row of ``labelled`` (lang, text).
 
     A task sends ``DIMENSIONS`` sums per language; they are added up map-side and then by Spark, and what
-    comes back is one vector per language.
+    comes back is one vector per language. Of more than ``MAX_LANGUAGES``, those with the most texts are
+    learned (ties: the first by code point).
     """
+    kept = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    names = [row["lang"] for row in kept.collect()]
+    labelled = labelled.where(F.col("lang").isin(names)) if len(names) == MAX_LANGUAGES else labelled
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, letters = tables()
@@ -166,7 +177,8 @@ def identify_languages(
     Prototypes come from all rows of ``training`` whose language is not null. Null texts, and texts without
     a letter, are ``und`` with score 0, as is everything when there are no training rows. ``score`` is the
     cosine with the chosen prototype, cut at 0; equal cosines go to the first language by code point.
-    Repeated rows are judged alike; an empty table gives no rows.
+    Whole texts are read, a bounded stretch at a time. Repeated rows are judged alike; an empty table gives
+    no rows.
     """
     labelled = only_named(training, lang=lang_column, text=text_column).where(F.col("lang").isNotNull())
     prototypes = fit_prototypes(labelled.select(F.col("lang").cast("string").alias("lang"), whole_text().alias("text")))
