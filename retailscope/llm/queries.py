@@ -126,7 +126,7 @@ FROM documents_ LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 MIXING_SQL = r"""
 WITH rows_ AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS hash
     FROM documents),
 sources AS (
     SELECT source, sum(size)::HUGEINT AS source_size,
@@ -163,7 +163,7 @@ SELECT doc_id, size, source_size, target,
 FROM rows_ r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source LEFT JOIN met m ON r.source IS NOT DISTINCT FROM m.source
 """
 
-WORD_TESTS = " OR ".join(f"regexp_matches(place, '(^|[^A-Za-z0-9]){w}([^A-Za-z0-9]|$)')" for w in BLOCKED_WORDS)
+WORD_TESTS = " OR ".join(f"regexp_matches(low, '(^|[^a-z0-9]){w}([^a-z0-9]|$)')" for w in BLOCKED_WORDS)
 URL_SQL = rf"""
 WITH rest AS (
     SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
@@ -172,7 +172,7 @@ places AS (
            regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
     FROM rest),
 ruled AS (
-    SELECT page_id, host, path, host || path AS place, CASE
+    SELECT page_id, host, path, translate(host || path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, CASE
         WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
         WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
         WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/'

@@ -26,18 +26,19 @@ def brute(rows):
             target[s] = 3.0 * total[s]
             left -= 3 * total[s]
             open_sources.remove(s)
-    hash_of = lambda i: int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16)
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    hash_of = lambda r: int(md5(f"{'' if r[0] is None else r[0]}:{md5(r[1] or '')}")[:15], 16)
     out = []
     for s in sources:
-        own = [(hash_of(r[0]), n, r[0]) for n, r in zip(sizes, rows) if r[3] == s]
+        own = sorted(((hash_of(r), n, r[0]) for n, r in zip(sizes, rows) if r[3] == s), key=lambda x: x[0])
         passes = math.floor(target[s] / total[s]) if total[s] else 0
         budget, best, taken = target[s] - passes * total[s], -1, 0
         gap = abs(budget) if total[s] else 0
-        for h in sorted({h for h, _, _ in own}):
-            taken += sum(n for k, n, _ in own if k == h)
+        for place, (_, n, _) in enumerate(own):
+            taken += n
             if total[s] and abs(taken - budget) < gap:
-                best, gap = h, abs(taken - budget)
-        out += [(i, n, total[s], round(target[s], 6), n * (passes + (h <= best))) for h, n, i in own]
+                best, gap = place, abs(taken - budget)
+        out += [(i, n, total[s], round(target[s], 6), n * (passes + (place <= best))) for place, (_, n, i) in enumerate(own)]
     return out
 
 
@@ -69,6 +70,21 @@ def test_targets_are_met_and_bounded(spark):
     assert all(r["taken"] <= 3 * r["size"] for r in got)
 
 
+def test_targets_are_met_without_ids_and_with_shared_ones(spark):
+    draw = random.Random(5)
+    rows = [
+        (None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"t{i} " + "w " * draw.randint(1, 9), "en", draw.choice("abc")) for i in range(3000)
+    ]
+    rows += [(None, "the same row", "en", "b")] * 400 + [(8, "another one", "en", "d")] * 90
+    got = mix(documents(spark, rows).repartition(4)).collect()
+    for source_size, target in {(r["source_size"], r["target"]) for r in got}:
+        taken = sum(r["taken"] for r in got if r["source_size"] == source_size)
+        assert abs(taken - target) <= 10
+    same(spark, rows)
+    kept = mix(documents(spark, rows), keep=("text", "source"))
+    assert sorted(r["taken"] for r in kept.collect()) == sorted(r["taken"] for r in got)
+
+
 def test_one_source_empty_words_and_no_rows(spark):
     same(spark, [(1, None, "", "a"), (2, "", "", "a")])
     same(spark, [(1, "a b c", "", None)])
