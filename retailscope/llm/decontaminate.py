@@ -8,9 +8,11 @@ indexes the documents it reads, shard by shard.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +21,12 @@ from pyspark.sql import functions as F
 
 from retailscope.llm.common import only_named, whole_text
 from retailscope.llm.fm_index import FMIndex
+from retailscope.sources.shared import materialize
 
 PHRASE_WORDS = 10
 SHARD_WORDS = 1 << 20  # indexed words per shard; a longer document is a shard of its own
-BLOCK_BYTES = 8 << 20  # benchmark text searched in one pass; it travels with every task
+BLOCK_BYTES = 2 << 20  # benchmark text searched by one job; it travels with every task
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
 
 # A-Z to a-z; everything else in ASCII but digits and small letters divides words.
 WORD_BYTES = bytes(
@@ -154,17 +158,25 @@ def find_phrases(texts: Column, phrases: Phrases) -> Column:
     return F.arrow_udf(find, FOUND)(texts)
 
 
-def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int) -> list[Phrases]:
-    """The benchmark in blocks of about ``block_bytes`` of text, so that what a task is sent stays bounded."""
+def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int) -> tuple[int, Iterator[Phrases]]:
+    """The benchmark in blocks of about ``block_bytes`` of text: their number, and one after another.
+
+    The items are written once; a block comes to the driver when it is asked for and can go before the next.
+    """
     items = only_named(benchmark, item_id=id_column, text=text_column).select(
         F.col("item_id").cast("string").alias("item_id"), whole_text().alias("text")
     )
     n_bytes = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-n_bytes // block_bytes))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    return [
-        phrases_of([(r["item_id"], r["text"]) for r in items.where(block == b).collect()]) for b in range(blocks)
-    ]
+    if blocks > 1:
+        items = materialize(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark")
+
+    def one_by_one() -> Iterator[Phrases]:
+        for b in range(blocks):
+            own = items.where(F.col("block") == b) if blocks > 1 else items
+            yield phrases_of([(r["item_id"], r["text"]) for r in own.select("item_id", "text").collect()])
+
+    return blocks, one_by_one()
 
 
 def decontaminate(
@@ -172,39 +184,59 @@ def decontaminate(
     item_id_column: str = "item_id", item_text_column: str = "text", block_bytes: int = BLOCK_BYTES,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, n_words, spans, items), one row per input row, without moving a document.
+    """(doc_id, n_words, spans, items), one row per input row.
 
     With ``keep``, those input columns instead of the id.
     ``spans`` are the merged stretches of words (positions from 0, end exclusive) inside any occurrence
     of a benchmark phrase, ``items`` the sorted ids, as text, of the items whose phrases occur. Null and
     empty texts have no words and no spans; an empty benchmark finds nothing; items with equal ids count
-    once; repeated documents are judged alike. ``without_spans`` cuts the spans out of a text. A
-    benchmark beyond ``block_bytes`` is searched in several passes over the same rows.
+    once; repeated documents are judged alike; an empty table gives no rows. Whole texts are searched; one
+    longer than a shard is a shard of its own. ``without_spans`` cuts the spans out of a text.
+
+    A benchmark of one block is searched in one pass that moves no document. A larger one takes a job for
+    each block over a written copy of the documents; a job writes what it found by row, and the rows meet
+    their findings at the end, so neither the driver nor a task ever holds more than one block.
     """
-    blocks = benchmark_blocks(benchmark, item_id_column, item_text_column, block_bytes)
+    blocks, one_by_one = benchmark_blocks(benchmark, item_id_column, item_text_column, block_bytes)
     carried = [F.col(c) for c in keep] or [F.col(id_column).alias("doc_id")]
-    names = list(keep) or ["doc_id"]
-    found = [find_phrases(whole_text(text_column), phrases).alias(f"found_{b}") for b, phrases in enumerate(blocks)]
-    rows = docs.select(*carried, *found)
-    spans = F.array_sort(F.flatten(F.array(*[F.col(f"found_{b}.spans") for b in range(len(blocks))])))
-    if len(blocks) > 1:
-        spans = merged(spans)
-    items = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"found_{b}.items") for b in range(len(blocks))]))))
-    return rows.select(*names, F.col("found_0.n_words").alias("n_words"), spans.alias("spans"), items.alias("items"))
-
-
-def merged(spans):
-    """Join sorted spans that touch or overlap."""
-    kind = "array<struct<from:int,to:int>>"
-
-    def add(done, span):
-        last = F.element_at(done, -1)
-        longer = F.struct(last["from"].alias("from"), F.greatest(last["to"], span["to"]).alias("to"))
-        head = F.slice(done, 1, F.size(done) - 1)
-        touches = (F.size(done) > 0) & (span["from"] <= F.try_element_at(done, F.lit(-1))["to"])
-        return F.when(touches, F.concat(head, F.array(longer))).otherwise(F.concat(done, F.array(span)))
-
-    return F.aggregate(spans, F.array().cast(kind), add)
+    if blocks == 1:
+        rows = docs.select(F.struct(*carried).alias("kept"), find_phrases(whole_text(text_column), next(one_by_one)).alias("found"))
+        items = F.array_sort(F.array_distinct("found.items"))
+        return rows.select("kept.*", "found.n_words", F.array_sort("found.spans").alias("spans"), items.alias("items"))
+    rows = docs.select(F.struct(*carried).alias("kept"), whole_text(text_column).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = materialize(rows, "searched-documents")
+    parts = []
+    for phrases in one_by_one:
+        found = rows.select("row", find_phrases(F.col("text"), phrases).alias("found")).where(F.size("found.spans") > 0)
+        parts.append(materialize(found.select("row", "found.spans", "found.items"), "found-phrases"))
+    by_row = reduce(DataFrame.unionByName, parts).groupBy("row").agg(  # at most one row for each block
+        F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    n_words = F.regexp_count(F.translate("text", ascii_uppercase, ascii_lowercase), F.lit(WORD)).cast("bigint")
+    met = rows.select("kept", "row", n_words.alias("n_words")).join(by_row, "row", "left")
+    spans = merged(F.coalesce("spans", F.array().cast(SPANS)))
+    items = F.array_sort(F.array_distinct(F.coalesce("items", F.array().cast("array<string>"))))
+    return met.select("kept.*", "n_words", spans.alias("spans"), items.alias("items"))
+
+
+SPANS = "array<struct<from:int,to:int>>"
+
+
+def merged(spans: Column) -> Column:
+    """Sort spans and join those that touch or overlap."""
+
+    def join(column: pa.Array) -> pa.Array:
+        rows = []
+        for own in column.to_pylist():
+            done: list[dict] = []
+            for span in sorted(own, key=lambda s: (s["from"], s["to"])):
+                if done and span["from"] <= done[-1]["to"]:
+                    done[-1]["to"] = max(done[-1]["to"], span["to"])
+                else:
+                    done.append(dict(span))
+            rows.append(done)
+        return pa.array(rows, pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])))
+
+    return F.arrow_udf(join, SPANS)(spans)
 
 
 def without_spans(text: str, spans: Sequence[tuple[int, int]]) -> str:

@@ -67,10 +67,23 @@ def test_same_as_brute_force(spark, monkeypatch, block_bytes, shard):
     assert sorted(map(tuple, got), key=str) == sorted(brute(docs, items), key=str)
 
 
+def test_blocks_come_one_at_a_time_and_give_the_result_of_one(spark):
+    docs, items = planted(6)
+    frame, benchmark = documents(spark, docs + docs[:3]), table(spark, items)
+    keep = ("doc_id", "text", "size", "found")
+    whole = D.decontaminate(frame, benchmark, keep=keep).collect()
+    blocks, one_by_one = D.benchmark_blocks(benchmark, "item_id", "text", 200)
+    assert blocks >= 10 and not isinstance(one_by_one, list)
+    sizes = [len(p.items) for p in one_by_one]
+    assert max(sizes) < 20 and len(sizes) == blocks
+    assert sorted(D.decontaminate(frame, benchmark, keep=keep, block_bytes=200).collect(), key=str) == sorted(whole, key=str)
+
+
 def test_no_benchmark_and_no_documents(spark):
     docs, items = planted(5)
     assert D.contamination(D.decontaminate(documents(spark, docs), table(spark, []))).where("contaminated").count() == 0
     assert D.decontaminate(documents(spark, []), table(spark, items)).count() == 0
+    assert D.decontaminate(documents(spark, []), table(spark, items), block_bytes=200).count() == 0
 
 
 def test_spans_cut_out():
