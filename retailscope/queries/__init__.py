@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("tables", "features", "scores", "segments", "sequences", "models", "explain", "reports")
+MODULES = ("tables", "features", "scores", "segments", "sequences", "models", "explain", "reports", "sinks")
 
 
 def load_queries() -> tuple[dict[str, QueryFunction], dict[str, str]]:
