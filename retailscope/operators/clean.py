@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retailscope.config import DEDUP_COLUMNS, NON_PRODUCT_CODES, RunConfig
 from retailscope.functions.ranks import exact_quantiles
+from retailscope.schema import PRICE_VALUE
 from retailscope.sources.shared import materialize
 
 OUTLIER_COLUMNS = ("quantity", "price")
@@ -23,8 +24,17 @@ def flag_returns(df: DataFrame) -> DataFrame:
 
 
 def flag_invalid_price(df: DataFrame) -> DataFrame:
-    """A missing price is not an invalid one: it simply adds nothing to sums."""
-    return df.withColumn("is_invalid_price", F.coalesce(F.col("price") <= 0, F.lit(False)))
+    """A missing price is not an invalid one: it simply adds nothing to sums.
+
+    Where the price is there as a double too, that one tells, as it keeps prices under a millionth.
+    """
+    price = F.coalesce(F.col(PRICE_VALUE), F.col("price").cast("double")) if PRICE_VALUE in df.columns else F.col("price")
+    return df.withColumn("is_invalid_price", F.coalesce(price <= 0, F.lit(False)))
+
+
+def signature(df: DataFrame, subset: Sequence[str]) -> list[str]:
+    """The columns that make two rows copies: a price counts with all its digits where they are there."""
+    return [*subset, *([PRICE_VALUE] if "price" in subset and PRICE_VALUE in df.columns else [])]
 
 
 def flag_non_product_rows(df: DataFrame, codes: Sequence[str] = NON_PRODUCT_CODES) -> DataFrame:
@@ -125,6 +135,7 @@ def deduplicate_transactions(df: DataFrame, subset: Sequence[str] = DEDUP_COLUMN
     whatever the partitioning.
     Copies collapse before the shuffle, so a signature that holds a third of all rows moves once per task.
     """
+    subset = signature(df, subset)
     rest = sorted((c for c in df.columns if c not in subset), key=lambda c: c != "source_sheet")
     if not rest:
         return df.dropDuplicates(list(subset))
@@ -134,7 +145,7 @@ def deduplicate_transactions(df: DataFrame, subset: Sequence[str] = DEDUP_COLUMN
 
 def duplicate_counts(df: DataFrame, subset: Sequence[str] = DEDUP_COLUMNS) -> DataFrame:
     """One row: rows before, rows kept and rows removed by deduplication."""
-    groups = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("copies"))
+    groups = df.groupBy(*signature(df, subset)).agg(F.count(F.lit(1)).alias("copies"))
     return groups.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("n_before"),
         F.count(F.lit(1)).alias("n_kept"),
@@ -159,5 +170,5 @@ def clean_for_features(df: DataFrame, config: RunConfig = RunConfig()) -> DataFr
 
     Outlier flags and descriptions feed no feature, so their scans are left out.
     """
-    kept = df.select(*config.dedup_columns).dropDuplicates(list(config.dedup_columns))
+    kept = df.select(*signature(df, config.dedup_columns)).dropDuplicates()
     return add_row_flags(kept, config.non_product_codes)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from retailscope.functions.ranks import exact_quantiles
 from retailscope.operators.prep import one_row
+from retailscope.sources.shared import materialize
 
 # How a feature is named in a sentence.
 READABLE_NAMES = {
@@ -94,24 +95,29 @@ def plain_language(terms: Mapping[str, Column], values: Mapping[str, Column], to
 
 
 def partial_dependence(
-    rows: DataFrame, scorer: Scorer, feature: str, grid_points: int = 100, low: float = 0.05, high: float = 0.95
+    rows: DataFrame, scorer: Scorer, features: Sequence[str], grid_points: int = 100, low: float = 0.05, high: float = 0.95
 ) -> DataFrame:
-    """Average score with ``feature`` set to each of ``grid_points`` evenly spaced values.
+    """Average score with a feature set to each of ``grid_points`` evenly spaced values, for every feature.
 
-    The grid spans the ``low`` to ``high`` quantile. Every row is copied once per grid point inside its
-    task and averaged map-side, so only ``grid_points`` partial sums per task are shuffled.
+    A feature's grid spans its ``low`` to ``high`` quantile; those of all features come from one pass. Every
+    row is scored once for each point of every grid inside its task and averaged map-side, in one plan, so
+    only a partial sum per point and task is shuffled.
     """
-    edges = one_row(exact_quantiles(rows, F.col(feature), {"low": low, "high": high}))
-    step = (F.col("edges.high") - F.col("edges.low")) / F.lit(float(grid_points - 1))
-    spread = rows.withColumn("edges", edges).withColumn(
-        "grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1)))
+    entries = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
+    edges = exact_quantiles(rows.select(F.inline(F.array(*entries))), F.col("value"), {"low": low, "high": high}, ["feature"])
+    step = (F.col("high") - F.col("low")) / F.lit(float(grid_points - 1))
+    points = materialize(edges, "grid-edges").withColumn("grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
+    points = points.select("feature", "grid_point", (F.col("low") + F.col("grid_point") * step).alias("grid_value"))
+    grid = points.agg(F.array_agg(F.struct("feature", "grid_point", "grid_value"))).scalar()  # fixed by the parameters
+    spread = rows.select(*[F.col(f).cast("double").alias(f) for f in features]).withColumn("at", F.explode(grid))
+    moved = spread.select(
+        "at.feature", "at.grid_point", "at.grid_value",
+        *[F.when(F.col("at.feature") == f, F.col("at.grid_value")).otherwise(F.col(f)).alias(f) for f in features],
     )
-    moved = spread.withColumn(feature, F.col("edges.low") + F.col("grid_point") * step).drop("edges")
     return (
         scorer(moved)
-        .groupBy("grid_point")
-        .agg(F.max(feature).alias("grid_value"), F.avg("probability").alias("average_prediction"))
-        .select(F.lit(feature).alias("feature"), "grid_point", "grid_value", "average_prediction")
+        .groupBy("feature", "grid_point")
+        .agg(F.max("grid_value").alias("grid_value"), F.avg("probability").alias("average_prediction"))
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,9 +55,8 @@ def explanations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partial_dependence(spark: SparkSession, folder: str) -> DataFrame:
-    rows = valid_features(spark, folder).select("customer_id", *FEATURE_COLUMNS)
-    curves = [explain.partial_dependence(rows, scorer(spark, folder), f, GRID_POINTS) for f in PDP_FEATURES]
-    return rounded(reduce(DataFrame.unionByName, curves))
+    rows = valid_features(spark, folder).select(*FEATURE_COLUMNS)
+    return rounded(explain.partial_dependence(rows, scorer(spark, folder), PDP_FEATURES, GRID_POINTS))
 
 
 def sampled_shap(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,6 +26,8 @@ SHEET_TEXT = {
                 "WHEN l_orderkey % 214 = 0 THEN '17.5' ELSE CAST(l_quantity AS {text}) END",
     "price": "CASE WHEN l_orderkey % 223 = 0 THEN '' WHEN l_orderkey % 224 = 0 THEN '0.001' WHEN l_orderkey % 225 = 0 THEN '1.005' "
              "WHEN l_orderkey % 226 = 0 THEN '20000000000' WHEN l_orderkey % 229 = 0 THEN '0.0000001' "
+             "WHEN l_orderkey % 232 = 0 THEN '0.30000000000000004' WHEN l_orderkey % 233 = 0 THEN '1e-20' "
+             "WHEN l_orderkey % 234 = 0 THEN '10000000000000' WHEN l_orderkey % 235 = 0 THEN '1234567890123.5' "
              "ELSE CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS {text}) END",
     "invoice_date": "CASE WHEN l_orderkey % 227 = 0 THEN 'bad' WHEN l_orderkey % 228 = 0 THEN '12/1/2009 8:26' "
                     "ELSE CAST(l_shipdate AS {text}) END",
@@ -42,7 +44,7 @@ def exact_sql(column: str, target: str) -> str:
 
 
 COERCED_SQL = {
-    "quantity": exact_sql("quantity", "BIGINT"), "price": exact_sql("price", "DECIMAL(18, 6)"),
+    "quantity": exact_sql("quantity", "BIGINT"), "price": "TRY_CAST(price AS DECIMAL(28, 6))",
     "invoice_date": "coalesce(TRY_CAST(invoice_date AS TIMESTAMP), try_strptime(invoice_date, '%m/%d/%Y %H:%M'))",
     "customer_id": exact_sql("customer_id", "BIGINT"),
 }
@@ -183,9 +185,9 @@ QUERIES = {
 
 SQL = {
     "load_union": statement(("raw",), """
-        SELECT invoice, stock_code, description, quantity, invoice_date, price, customer_id, country, source_sheet
-        FROM raw"""),
-    "coerce_types": "SELECT invoice, stock_code, description, country, " + ", ".join(
+        SELECT invoice, stock_code, description, quantity, invoice_date, CAST(price AS DECIMAL(28, 6)) AS price,
+               CAST(price AS DOUBLE) AS price_value, customer_id, country, source_sheet FROM raw"""),
+    "coerce_types": "SELECT invoice, stock_code, description, country, TRY_CAST(price AS DOUBLE) AS price_value, " + ", ".join(
         f"{rule} AS {name}" for name, rule in COERCED_SQL.items()) + f" FROM ({SHEET_SQL})",
     "uncoerced_values": f"""
         SELECT invoice, quantity, price, invoice_date, customer_id, concat_ws(',', """ + ", ".join(

@@ -19,7 +19,8 @@ RAW_TO_CANONICAL = {
 
 CANONICAL_COLUMNS = tuple(dict.fromkeys(RAW_TO_CANONICAL.values()))
 
-PRICE_TYPE = T.DecimalType(18, 6)
+PRICE_TYPE = T.DecimalType(28, 6)  # exact money, to a millionth
+PRICE_VALUE = "price_value"  # the price as a double, whatever its digits
 
 # Input formats of invoice dates besides ISO 8601, tried in order.
 DATE_FORMATS = ("M/d/yyyy H:mm", "d.M.yyyy H:mm")

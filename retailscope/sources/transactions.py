@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from retailscope.schema import CANONICAL_COLUMNS, DATE_FORMATS, RAW_TO_CANONICAL, TRANSACTION_TYPES
+from retailscope.schema import CANONICAL_COLUMNS, DATE_FORMATS, PRICE_VALUE, RAW_TO_CANONICAL, TRANSACTION_TYPES
 
 
 def standardize_columns(df: DataFrame) -> DataFrame:
@@ -24,9 +24,12 @@ EXACT = "decimal(38,18)"  # wide enough to see what a narrower type would round
 
 
 def coerced(name: str, date_formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """One known column in its type; null where the value does not parse or would not fit exactly."""
+    """One known column in its type; null where the value does not parse or, if a whole number, has a fraction.
+
+    A price is rounded to the nearest millionth; ``price_value`` beside it keeps the value itself.
+    """
     target = TRANSACTION_TYPES[name]
-    if isinstance(target, (T.LongType, T.DecimalType)):
+    if isinstance(target, T.LongType):
         # spreadsheets export whole numbers as "17.0"; nothing is rounded into a type
         fitted = F.col(name).try_cast(EXACT).try_cast(target)
         return F.when(fitted.cast(EXACT) == F.col(name).try_cast(EXACT), fitted)
@@ -38,15 +41,21 @@ def coerced(name: str, date_formats: Sequence[str] = DATE_FORMATS) -> Column:
 
 
 def coerce_types(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Give every known column its type without changing a value.
+    """Give every known column its type without losing a value.
 
-    What does not parse, or fits its type only after rounding, becomes null; ``uncoerced`` lists it.
+    What does not parse becomes null, as does a fraction where a whole number belongs; ``uncoerced`` lists it.
+    A price comes twice: as an exact decimal for sums of money, rounded to a millionth, and as the double
+    ``price_value``, which keeps prices of any size and fineness and tells tiny ones from zero.
     """
-    return df.withColumns({name: coerced(name, date_formats) for name in TRANSACTION_TYPES if name in df.columns})
+    typed = {name: coerced(name, date_formats) for name in TRANSACTION_TYPES if name in df.columns}
+    return df.withColumns(typed | ({PRICE_VALUE: F.col("price").try_cast("double")} if "price" in typed else {}))
 
 
 def uncoerced(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """Rows of ``df`` with a value that coercion loses, and the names of those columns in ``lost``."""
+    """Rows of ``df`` with a value that coercion loses, and the names of those columns in ``lost``.
+
+    A price counts as lost if it is no number or too large for money.
+    """
     lost = [
         F.when(F.col(n).isNotNull() & (F.trim(F.col(n).cast("string")) != "") & coerced(n, date_formats).isNull(), F.lit(n))
         for n in TRANSACTION_TYPES if n in df.columns

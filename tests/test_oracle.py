@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
 
-SLOW = {"model_gbt", "model_gbt_b", "model_rf", "model_mlp", "model_comparison", "cv_search", "model_timing"}
+SLOW = {"model_mlp", "model_comparison", "model_timing"}
 
 
 @pytest.fixture(scope="module")
