@@ -62,6 +62,10 @@ def silhouette(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(segment.silhouette(assigned(spark, folder), COLUMNS))
 
 
+def euclidean_silhouette(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(segment.euclidean_silhouette(assigned(spark, folder), COLUMNS).drop("standard_error"))
+
+
 def segment_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(segment.profile_segments(with_clusters(spark, folder)).drop("business_label"))
 
@@ -116,6 +120,7 @@ QUERIES = {
     "kmeans_assign": kmeans_assign,
     "davies_bouldin": davies_bouldin,
     "silhouette": silhouette,
+    "euclidean_silhouette": euclidean_silhouette,
     "segment_profiles": segment_profiles,
     "segment_labels": segment_labels,
     "segment_assign": segment_assign,
@@ -133,6 +138,7 @@ piece("start_centroids", ("matrix",), f"""
     SELECT least(CAST(floor(raw_engagement / {BAND}) AS INTEGER), 3) AS cluster, """ + ", ".join(
     f"avg(z_{c}) AS c_{c}" for c in WIDE_COLUMNS) + " FROM matrix GROUP BY 1")
 GAP = " + ".join(f"(z_{c} - c_{c}) * (z_{c} - c_{c})" for c in WIDE_COLUMNS)
+PAIR_GAP = " + ".join(f"(x.z_{c} - y.z_{c}) * (x.z_{c} - y.z_{c})" for c in WIDE_COLUMNS)
 piece("assigned", ("matrix", "start_centroids"), f"""
     SELECT matrix.*, cluster, {GAP} AS gap FROM matrix, start_centroids
     QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY gap, cluster) = 1""")
@@ -180,6 +186,12 @@ SQL = {
         FROM (SELECT a.cluster, max((sa.s + sb.s) / sqrt({PAIR})) AS worst
               FROM centroids a JOIN scatter sa ON a.cluster = sa.cluster, centroids b JOIN scatter sb ON b.cluster = sb.cluster
               WHERE a.cluster <> b.cluster GROUP BY a.cluster)"""),
+    "euclidean_silhouette": statement(("assigned",), f"""
+        SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, count(*) AS n_judged
+        FROM (SELECT customer_id, max(CASE WHEN own = other THEN total / nullif(n - 1, 0) END) AS a,
+                     min(CASE WHEN own <> other THEN total / n END) AS b
+              FROM (SELECT x.customer_id, x.cluster AS own, y.cluster AS other, sum(sqrt({PAIR_GAP})) AS total, count(*) AS n
+                    FROM assigned x, assigned y GROUP BY ALL) GROUP BY customer_id)"""),
     "silhouette": statement(("assigned", "centroids"), f"""
         SELECT round(avg(CASE WHEN own_n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette_squared
         FROM (SELECT customer_id, max(n) FILTER (own) AS own_n, min(d) FILTER (NOT own) AS b,

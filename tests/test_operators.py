@@ -168,10 +168,33 @@ def test_distance_weights_favour_exact_matches(spark):
     assert votes[1] == 1.0 and votes[2] == pytest.approx(2 / 3)
 
 
+def test_euclidean_silhouette_equals_brute_force(spark):
+    draw = np.random.default_rng(3)
+    points = [(i, *draw.normal(size=2).tolist(), int(draw.integers(0, 3)) if i else 7) for i in range(150)] + [(900, 0.0, 0.0, -1)]
+    df = spark.createDataFrame(points, "customer_id bigint, x double, y double, cluster int").repartition(3)
+    kept = [p for p in points if p[3] != -1]
+    values = []
+    for own in kept:
+        mean = {}
+        for c in {p[3] for p in kept}:
+            others = [math.dist(own[1:3], p[1:3]) for p in kept if p[3] == c and p[0] != own[0]]
+            mean[c] = sum(others) / len(others) if others else None
+        a, b = mean.pop(own[3]), min(mean.values())
+        values.append(0.0 if a is None else (b - a) / max(a, b))
+    row = segment.euclidean_silhouette(df, ["x", "y"]).first()
+    assert row["silhouette"] == pytest.approx(sum(values) / len(values), abs=1e-12) and row["n_judged"] == 150 and row["standard_error"] == 0
+    some = segment.euclidean_silhouette(df, ["x", "y"], judged=60).first()
+    assert some["n_judged"] == 60 and 0 < some["standard_error"] < 0.1
+    assert abs(some["silhouette"] - row["silhouette"]) < 4 * some["standard_error"]
+    chosen = segment.find_optimal_k(df.drop("cluster"), ["x", "y"], (2, 3, 5), 2).collect()
+    assert [r["k"] for r in chosen if r["is_best"]] == [max(chosen, key=lambda r: r["silhouette"])["k"]]
+
+
 def test_clusters_without_a_partner_have_no_quality(spark):
     rows = spark.createDataFrame([(1, 0.0, 0), (2, 1.0, 0), (3, 9.0, -1)], "customer_id bigint, x double, cluster int")
     assert segment.davies_bouldin(rows, ["x"]).first()[0] is None
     assert segment.silhouette(rows, ["x"]).first()[0] is None
+    assert segment.euclidean_silhouette(rows, ["x"]).first()["silhouette"] is None
 
 
 @pytest.mark.parametrize("row, label", [
