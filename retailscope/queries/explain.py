@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retailscope.config import FEATURE_COLUMNS
 from retailscope.functions import scorecard
 from retailscope.operators import explain
+from retailscope.operators import local_rules as rules
 from retailscope.operators.prep import fit_scaler
 from retailscope.operators.score import split_valid
 from retailscope.queries.inputs import feature_table, rounded, scored, scoring_input
@@ -75,6 +76,14 @@ def local_surrogate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def local_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The conditions that move the scores of the three representative customers."""
+    rows = valid_features(spark, folder).select("customer_id", *FEATURE_COLUMNS)
+    chosen = explain.representatives(scored(spark, folder)).select("customer_id").distinct()
+    instances = rows.join(F.broadcast(chosen), "customer_id")  # at most three rows
+    return rules.local_rules(instances, scorer(spark, folder), rows, FEATURE_COLUMNS)
+
+
 QUERIES = {
     "linear_shap": linear_shap,
     "global_importance": global_importance,
@@ -83,6 +92,7 @@ QUERIES = {
     "partial_dependence": partial_dependence,
     "sampled_shap": sampled_shap,
     "local_surrogate": local_surrogate,
+    "local_rules": local_rules,
 }
 
 ATTRIBUTIONS = " UNION ALL ".join(
