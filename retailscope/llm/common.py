@@ -37,13 +37,15 @@ def only_named(df: DataFrame, **columns: str) -> DataFrame:
 def worker_state(place: str, key: object, build: Callable):
     """An object kept in the Python worker across tasks (vocabularies, caches).
 
-    A place holds one object at a time: asking for another ``key`` replaces it.
+    A worker holds one object: asking for another place or ``key`` lets the old one go first, so a pipeline's
+    later stages do not carry what earlier ones remembered.
     """
     holder = sys.modules.setdefault("retailscope_worker_state", types.ModuleType("retailscope_worker_state"))
     kept = holder.__dict__.setdefault("kept", {})
-    if kept.get(place, (None,))[0] != key:
-        kept[place] = (key, build())
-    return kept[place][1]
+    if (place, key) not in kept:
+        kept.clear()
+        kept[place, key] = build()
+    return kept[place, key]
 
 
 def without_repeats(docs: DataFrame, ids: DataFrame, *key: str) -> DataFrame:

@@ -1,7 +1,7 @@
 from helpers import documents
 
 from retailscope.functions.hotkeys import join_groups
-from retailscope.llm.common import hash_sample, without_repeats
+from retailscope.llm.common import hash_sample, without_repeats, worker_state
 from pyspark.sql import functions as F
 
 
@@ -29,3 +29,9 @@ def test_without_repeats(spark):
     ids = spark.createDataFrame([(1,), (2,), (2,), (None,)], "doc_id bigint")
     got = without_repeats(docs, ids, "doc_id")
     assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == [("1", "a"), ("2", "b"), ("None", "c")]
+
+
+def test_a_worker_keeps_one_object():
+    built = []
+    ask = lambda place, key: worker_state(place, key, lambda: built.append((place, key)) or len(built))
+    assert [ask("a", 1), ask("a", 1), ask("a", 2), ask("b", 2), ask("b", 2), ask("a", 2)] == [1, 1, 2, 3, 3, 4]
