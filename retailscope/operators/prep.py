@@ -70,6 +70,7 @@ def stratified_folds(
 
 
 def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """The columns of a table that a model may read, in their order."""
     return [c for c in df.columns if c not in exclude]
 
 

@@ -9,11 +9,11 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailscope.config import FEATURE_COLUMNS, RunConfig
+from retailscope.config import RunConfig
 from retailscope.operators import features as feature_operators
 from retailscope.operators import metrics, models, segment
 from retailscope.operators.clean import clean_transactions, duplicate_counts
-from retailscope.operators.prep import apply_scaler, fit_scaler, stratified_folds, stratified_split
+from retailscope.operators.prep import apply_scaler, feature_columns, fit_scaler, stratified_folds, stratified_split
 from retailscope.operators.validate import raise_if_failed, run_validation
 from retailscope.plans.feature_table import customer_features
 from retailscope.sources import tables
@@ -80,7 +80,7 @@ def segment_customers(
     wide = table.join(shares, "customer_id", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in names})
     wide.write.mode("overwrite").parquet(f"{output}/segmentation_input")
     wide = table.sparkSession.read.parquet(f"{output}/segmentation_input")
-    columns = [*FEATURE_COLUMNS, *names]
+    columns = feature_columns(wide, ("customer_id", "churned"))
     scaled = apply_scaler(wide, fit_scaler(wide, columns), columns)
     diagnostics = segment.find_optimal_k(scaled, columns, config.segment_counts, n_init, config.seed)
     k = diagnostics.where("is_best").first()["k"]
