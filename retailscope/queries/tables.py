@@ -49,6 +49,12 @@ COERCED_SQL = {
     "customer_id": exact_sql("customer_id", "BIGINT"),
 }
 
+# A price whose decimal is a rounded one counts as lost as well.
+ROUNDED_PRICE = (f"coalesce(TRY_CAST(price AS DECIMAL(38, 18)) <> {COERCED_SQL['price']}, false) "
+                 f"OR coalesce({COERCED_SQL['price']} = 0 AND TRY_CAST(price AS DOUBLE) <> 0, false)")
+LOST_SQL = {name: f"({rule}) IS NULL" for name, rule in COERCED_SQL.items()}
+LOST_SQL["price"] += f" OR {ROUNDED_PRICE}"
+
 
 def load_union(spark: SparkSession, folder: str) -> DataFrame:
     """Two sheets with source headings, each its own scan, stacked and tagged."""
@@ -68,7 +74,7 @@ def coerce_types(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def uncoerced_values(spark: SparkSession, folder: str) -> DataFrame:
-    lost = uncoerced(sheet_text(spark, folder))
+    lost = uncoerced(sheet_text(spark, folder), exact=True)
     return lost.select("invoice", "quantity", "price", "invoice_date", "customer_id", F.array_join("lost", ",").alias("lost"))
 
 
@@ -191,7 +197,7 @@ SQL = {
         f"{rule} AS {name}" for name, rule in COERCED_SQL.items()) + f" FROM ({SHEET_SQL})",
     "uncoerced_values": f"""
         SELECT invoice, quantity, price, invoice_date, customer_id, concat_ws(',', """ + ", ".join(
-        f"CASE WHEN trim({name}) <> '' AND ({rule}) IS NULL THEN '{name}' END" for name, rule in COERCED_SQL.items()) + f""") AS lost
+        f"CASE WHEN trim({name}) <> '' AND ({rule}) THEN '{name}' END" for name, rule in LOST_SQL.items()) + f""") AS lost
         FROM ({SHEET_SQL}) WHERE lost <> ''""",
     "validate_schema": statement(("raw",), SCHEMA_ROWS),
     "null_rates": statement(("raw",), NULL_RATE_ROWS),

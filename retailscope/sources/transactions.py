@@ -51,15 +51,27 @@ def coerce_types(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> D
     return df.withColumns(typed | ({PRICE_VALUE: F.col("price").try_cast("double")} if "price" in typed else {}))
 
 
-def uncoerced(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+def is_rounded(name: str, date_formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Whether a decimal column holds its value only after rounding."""
+    if not isinstance(TRANSACTION_TYPES[name], T.DecimalType):
+        return F.lit(False)
+    held = coerced(name, date_formats)
+    vanished = (held == 0) & (F.col(name).try_cast("double") != 0)  # finer than EXACT tells
+    return F.coalesce(held.try_cast(EXACT) != F.col(name).try_cast(EXACT), F.lit(False)) | F.coalesce(vanished, F.lit(False))
+
+
+def uncoerced(df: DataFrame, date_formats: Sequence[str] = DATE_FORMATS, exact: bool = False) -> DataFrame:
     """Rows of ``df`` with a value that coercion loses, and the names of those columns in ``lost``.
 
-    A price counts as lost if it is no number or too large for money.
+    A price counts as lost if it is no number or too large for money; with ``exact`` also if its decimal,
+    which sums of money use, is a rounded one.
     """
-    lost = [
-        F.when(F.col(n).isNotNull() & (F.trim(F.col(n).cast("string")) != "") & coerced(n, date_formats).isNull(), F.lit(n))
-        for n in TRANSACTION_TYPES if n in df.columns
-    ]
+    lost = []
+    for n in TRANSACTION_TYPES:
+        if n in df.columns:
+            given = F.col(n).isNotNull() & (F.trim(F.col(n).cast("string")) != "")
+            gone = coerced(n, date_formats).isNull()
+            lost.append(F.when(given & (gone | is_rounded(n, date_formats) if exact else gone), F.lit(n)))
     return df.withColumn("lost", F.filter(F.array(*lost), lambda name: name.isNotNull())).where(F.size("lost") > 0)
 
 

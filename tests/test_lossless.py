@@ -163,3 +163,10 @@ def test_vote_equals_brute_force(spark, weights):
     searched = neighbours.knn_classify(df.where("customer_id < 40"), df.where("customer_id >= 20"), ["x", "y"], 7, weights, max_train_rows=5)
     small, large = ({r["customer_id"]: r["probability"] for r in t.collect()} for t in (got, searched))
     assert small == pytest.approx(large), "more rows than a task takes: cells are searched, all rows vote"
+
+
+def test_rounded_prices_are_listed_where_exactness_is_asked_for(spark):
+    prices = ["0.001", "0.0000001", "0.30000000000000004", "1e-20", "10000000000000", "1234567890123.5", "free", "0", "12.50", "1e21", None]
+    df = spark.createDataFrame([(p,) for p in prices], "price string")
+    lost = {r["price"] for r in uncoerced(df, exact=True).collect()}
+    assert lost == {"0.0000001", "0.30000000000000004", "1e-20", "free"}
