@@ -90,12 +90,19 @@ def best_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Error of the mean-basket estimate of spend per order against realised spend per order."""
-    rows = feature_table(spark, folder).withColumns({
-        "actual": F.col("monetary_total") / F.col("frequency"),
+    """Error of the mean-basket estimate of spend per order against realised spend per order.
+
+    Customers whose lines all lack an invoice have no order to compare and are left out.
+    """
+    return rounded(order_spend_errors(feature_table(spark, folder)), 4)
+
+
+def order_spend_errors(table: DataFrame) -> DataFrame:
+    rows = table.withColumns({
+        "actual": F.try_divide("monetary_total", "frequency"),
         "predicted": F.col("monetary_avg") * F.col("avg_basket_size"),
     })
-    return rounded(metrics.regression_metrics(rows, "actual", "predicted", ["churned"]), 4)
+    return metrics.regression_metrics(rows, "actual", "predicted", ["churned"])
 
 
 QUERIES = {

@@ -15,6 +15,7 @@ from retailscope.operators import clean, features, models, neighbours, score, se
 from retailscope.plans.feature_table import customer_rollup
 from retailscope.queries.inputs import rounded
 from retailscope.sources import tables
+from retailscope.queries.scores import order_spend_errors
 from retailscope.sources.transactions import coerce_types, uncoerced
 from retailscope.streaming.scoring import request_stream, score_stream
 
@@ -170,3 +171,9 @@ def test_rounded_prices_are_listed_where_exactness_is_asked_for(spark):
     df = spark.createDataFrame([(p,) for p in prices], "price string")
     lost = {r["price"] for r in uncoerced(df, exact=True).collect()}
     assert lost == {"0.0000001", "0.30000000000000004", "1e-20", "free"}
+
+
+def test_customers_without_an_order_have_no_spend_per_order(spark):
+    rows = [(1, 10.0, 2, 5.0, 1.0), (1, 30.0, 3, 4.0, 3.0), (1, 7.0, 0, 7.0, 0.0)]
+    got = order_spend_errors(spark.createDataFrame(rows, "churned int, monetary_total double, frequency bigint, monetary_avg double, avg_basket_size double"))
+    assert [(r["n_rows"], r["mae"]) for r in got.collect()] == [(2, 1.0)]
