@@ -246,3 +246,13 @@ def test_surrogate_finds_the_linear_drivers(spark, small):
     top = explain.local_surrogate(table, linear, scaler, FEATURE_COLUMNS, samples=3000, top_n=2).orderBy("rank").collect()
     assert [r["feature"] for r in top] == ["recency_days", "frequency"]
     assert top[0]["weight"] == pytest.approx(0.3, abs=0.02) and top[1]["weight"] == pytest.approx(-0.2, abs=0.02)
+
+
+def test_neighbour_searches_place_few_rows_at_a_time():
+    import pandas as pd
+
+    from retailscope.operators.neighbours import pieces
+
+    frame = pd.DataFrame({"id": range(1300)})
+    parts = list(pieces(iter([frame, frame.iloc[:0], frame.iloc[:5]])))
+    assert [len(p) for p in parts] == [512, 512, 276, 5] and pd.concat(parts)["id"].tolist() == [*range(1300), *range(5)]
