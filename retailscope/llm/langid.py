@@ -24,6 +24,7 @@ MAX_LANGUAGES = 2000  # prototypes a model holds: those of the languages with th
 SEED = 9
 UNDECIDED = "und"
 TEXTS_AT_ONCE = 64
+JUDGED_AT_ONCE = 16 * TEXTS_AT_ONCE  # texts whose vectors a task holds
 CHARS_AT_ONCE = 1 << 20
 
 
@@ -152,6 +153,10 @@ def predict(texts: Column, prototypes: dict[str, np.ndarray]) -> Column:
     matrix = np.array([prototypes[l] / max(np.linalg.norm(prototypes[l]), 1e-300) for l in langs]).reshape(len(langs), DIMENSIONS)
 
     def identify(column: pa.Array) -> pa.Array:
+        parts = [judge(column.slice(start, JUDGED_AT_ONCE)) for start in range(0, len(column), JUDGED_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else judge(column)
+
+    def judge(column: pa.Array) -> pa.Array:
         table, letters = tables()
         vectors = bundles(column.to_pylist(), table, letters).astype(np.float64)
         lengths = np.linalg.norm(vectors, axis=1)

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from helpers import ODD_ROWS, documents, fold
 
 from retailscope.llm import langid as L
@@ -105,3 +106,18 @@ def test_no_training_and_no_documents(spark):
     docs = documents(spark, ODD_ROWS)
     assert {r["lang_pred"] for r in L.identify_languages(docs, docs.limit(0)).collect()} == {"und"}
     assert L.identify_languages(documents(spark, []), docs).count() == 0
+
+
+def test_long_columns_are_judged_in_parts(monkeypatch):
+    from retailscope.llm import langid
+
+    sizes, whole = [], langid.bundles
+    monkeypatch.setattr(langid, "bundles", lambda texts, *rest: sizes.append(len(texts)) or whole(texts, *rest))
+    judged = {}
+    monkeypatch.setattr(langid.F, "arrow_udf", lambda f, schema: lambda *columns: judged.setdefault("f", f))
+    langid.predict(None, {"a": np.ones(langid.DIMENSIONS), "b": -np.ones(langid.DIMENSIONS)})
+    texts = pa.array([f"word{i % 7} and {i % 3}" for i in range(1500)] + ["", "12"])
+    got = judged["f"](texts)
+    assert max(sizes) <= langid.JUDGED_AT_ONCE and sum(sizes) == len(got) == 1502
+    assert got[:10].to_pylist() == judged["f"](texts[:10]).to_pylist() and got[-1].as_py()["lang_pred"] == "und"
+    assert len(judged["f"](texts[:0])) == 0
