@@ -25,6 +25,8 @@ READABLE_NAMES = {
     "purchase_trend_slope": "whether their ordering is speeding up or slowing down",
 }
 
+ROWS_SCORED = 500_000  # rows that one task makes of its input and scores
+
 Scorer = Callable[[DataFrame], DataFrame]
 """Adds a ``probability`` column to a table of feature columns."""
 
@@ -101,18 +103,21 @@ def partial_dependence(
 
     A feature's grid spans its ``low`` to ``high`` quantile; those of all features come from one pass. Every
     row is scored once for each point of every grid inside its task and averaged map-side, in one plan, so
-    only a partial sum per point and task is shuffled.
+    only a partial sum per point and task is shuffled. Rows are dealt by what they become, not by their bytes.
     """
     entries = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
     edges = exact_quantiles(rows.select(F.inline(F.array(*entries))), F.col("value"), {"low": low, "high": high}, ["feature"])
     step = (F.col("high") - F.col("low")) / F.lit(float(grid_points - 1))
     points = materialize(edges, "grid-edges").withColumn("grid_point", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))))
     points = points.select("feature", "grid_point", (F.col("low") + F.col("grid_point") * step).alias("grid_value"))
-    grid = points.agg(F.array_agg(F.struct("feature", "grid_point", "grid_value"))).scalar()  # fixed by the parameters
-    spread = rows.select(*[F.col(f).cast("double").alias(f) for f in features]).withColumn("at", F.explode(grid))
-    moved = spread.select(
-        "at.feature", "at.grid_point", "at.grid_value",
-        *[F.when(F.col("at.feature") == f, F.col("at.grid_value")).otherwise(F.col(f)).alias(f) for f in features],
+    # the value of the feature that moves, null for the others: short code, which the JVM compiles
+    values = [F.when(F.col("feature") == f, F.col("grid_value")).alias(f"set_{i}") for i, f in enumerate(features)]
+    points = points.select("feature", "grid_point", "grid_value", *values)
+    grid = points.agg(F.array_agg(F.struct(*points.columns))).scalar()  # fixed by the parameters
+    asked = rows.select(*[F.col(f).cast("double").alias(f"own_{i}") for i, f in enumerate(features)])
+    parts = max(1, -(-asked.count() * len(features) * grid_points // ROWS_SCORED))
+    moved = asked.repartition(parts).select("*", F.inline(grid)).select(
+        "feature", "grid_point", "grid_value", *[F.coalesce(f"set_{i}", f"own_{i}").alias(f) for i, f in enumerate(features)]
     )
     return (
         scorer(moved)
@@ -142,6 +147,9 @@ def sampled_attributions(
     contributing its score to the feature just switched and, negatively, to the one switched next, so the
     result is a plain sum per customer and feature. Walks are fixed by ``seed`` and shared by all rows;
     they start from the background rows in turn, from each once unless ``permutations`` says otherwise.
+
+    A customer makes a thousand and more rows to score, so customers are dealt by what they become and not by
+    their own bytes; all rows of a customer stay in its task, and only finished sums leave it.
     """
     generator = np.random.default_rng(seed)
     permutations = len(background) if permutations is None else permutations
@@ -150,40 +158,39 @@ def sampled_attributions(
         order = [int(i) for i in generator.permutation(len(features))]
         start = [float(v) for v in background[w % len(background)]]
         walks.append((order, start))
-    schema = "walk int, step int, switched array<boolean>, start array<double>, credited string, debited string"
+    # the start's value of a feature, null once the feature is switched: short code, which the JVM compiles
+    starts = [f"start_{i}" for i in range(len(features))]
+    schema = "credited int, debited int, " + ", ".join(f"{s} double" for s in starts)
     steps = []
-    for w, (order, start) in enumerate(walks):
+    for order, start in walks:
         for step in range(len(features) + 1):
             taken = set(order[:step])
             steps.append((
-                w, step, [i in taken for i in range(len(features))], start,
-                features[order[step - 1]] if step else None,
-                features[order[step]] if step < len(features) else None,
+                order[step - 1] if step else None,
+                order[step] if step < len(features) else None,
+                *[None if i in taken else v for i, v in enumerate(start)],
             ))
     plan = rows.sparkSession.createDataFrame(steps, schema)
     plan_array = plan.agg(F.array_agg(F.struct(*plan.columns)).alias("steps")).scalar()
-    spread = (
-        rows.select("customer_id", *[F.col(f).cast("double").alias(f) for f in features])
-        .withColumn("step", F.explode(plan_array))
-    )
+    asked = rows.select("customer_id", *[F.col(f).cast("double").alias(f) for f in features])
+    parts = max(1, -(-asked.count() * len(steps) // ROWS_SCORED))
+    spread = asked.repartition(parts, "customer_id").select("*", F.inline(plan_array))
     mixed = spread.select(
-        "customer_id", "step.credited", "step.debited",
-        *[
-            F.when(F.col("step.switched")[i], F.col(f)).otherwise(F.col("step.start")[i]).alias(f)
-            for i, f in enumerate(features)
-        ],
+        "customer_id", "credited", "debited", *[F.coalesce(s, f).alias(f) for s, f in zip(starts, features)]
     )
     share = F.col("probability") / permutations
     changes = F.array(
         F.struct(F.col("credited").alias("feature"), share.alias("change")),
         F.struct(F.col("debited").alias("feature"), (-share).alias("change")),
     )
+    names = F.array(*[F.lit(f) for f in features])
     return (
         scorer(mixed)
         .select("customer_id", F.inline(changes))
         .where(F.col("feature").isNotNull())
         .groupBy("customer_id", "feature")
         .agg(F.sum("change").alias("attribution"))
+        .select("customer_id", names[F.col("feature")].alias("feature"), "attribution")
     )
 
 

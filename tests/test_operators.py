@@ -230,6 +230,23 @@ def test_sampled_attributions_add_up(spark, small):
     assert gap < 1e-9
 
 
+def test_rows_to_score_are_dealt_over_tasks(spark, small, monkeypatch):
+    """A small table in one partition becomes many rows to score, which do not stay in its one task."""
+    monkeypatch.setattr(explain, "ROWS_SCORED", 5_000, raising=False)
+    rows = explain_queries.valid_features(spark, small).limit(100).coalesce(1)
+    score, parts = explain_queries.scorer(spark, small), []
+
+    def scorer(table):
+        parts.append(table.rdd.getNumPartitions())
+        return score(table)
+
+    background = explain.background_sample(rows, FEATURE_COLUMNS, size=2)
+    assert explain.sampled_attributions(rows, scorer, FEATURE_COLUMNS, background, permutations=10).count() == 1200
+    curves = explain.partial_dependence(rows.select(*FEATURE_COLUMNS), scorer, FEATURE_COLUMNS, grid_points=10)
+    assert curves.count() == 120
+    assert parts == [3, 3]
+
+
 def test_surrogate_finds_the_linear_drivers(spark, small):
     """Around a row of a linear scorer the surrogate recovers the strongest weights and their signs."""
     table = feature_table(spark, small).limit(1)
