@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailscope.functions.blocks import compare_blocks, pack, squared_distances
+from retailscope.functions.blocks import compare_blocks, pack, within
 from retailscope.functions.ranks import cumulative_histogram
 from retailscope.operators.neighbours import vectors
 from retailscope.sources.shared import materialize
@@ -37,13 +37,15 @@ def cell_of(eps: float, axes: Sequence[int], shift: Sequence[int] | None = None)
     return F.xxhash64(*[F.floor(F.col("vector")[a] / eps) + F.lit(s).cast("bigint") for a, s in zip(axes, shift)])
 
 
-def compare_near(points: DataFrame, eps: float, axes: Sequence[int], payload: Sequence[str], handle, schema: str) -> DataFrame:
-    """Compare every point's block with the blocks of its own and adjacent cells.
+def compare_near(
+    points: DataFrame, eps: float, axes: Sequence[int], payload: Sequence[str], handle, schema: str, others: DataFrame | None = None
+) -> DataFrame:
+    """Compare every point's block with the blocks of its own and adjacent cells, of ``others`` where given.
 
     Anything within ``eps`` lies in an adjacent cell, so no neighbour is missed. Cells nobody occupies
     are dropped before queries are packed.
     """
-    data = points.withColumn("cell", cell_of(eps, axes))
+    data = (points if others is None else others).withColumn("cell", cell_of(eps, axes))
     shifts = [cell_of(eps, axes, s) for s in product((-1, 0, 1), repeat=len(axes))]
     asked = points.withColumn("cell", F.explode(F.array_distinct(F.array(*shifts)))).join(
         data.select("cell").distinct(), "cell", "left_semi"
@@ -58,8 +60,9 @@ def neighbour_counts(points: DataFrame, eps: float, axes: Sequence[int]) -> Data
     limit = eps * eps
 
     def count(left, right):
-        near = squared_distances(left["vector"], right["vector"]) <= limit
-        return left["id"], near.astype("int64") @ right["weight"]
+        near = within(left["vector"], right["vector"], limit)
+        # counts of rows are whole numbers far below 2 ** 53, which a product of doubles adds up exactly
+        return left["id"], (near.astype("float64") @ right["weight"].astype("float64")).astype("int64")
 
     partial = compare_near(points, eps, axes, ["id", "vector", "weight"], count, "id bigint, n bigint")
     return points.join(partial.groupBy("id").agg(F.sum("n").alias("n_neighbours")), "id")
@@ -70,18 +73,22 @@ def core_links(cores: DataFrame, eps: float, axes: Sequence[int]) -> DataFrame:
     limit = eps * eps
 
     def link(left, right):
-        near = squared_distances(left["vector"], right["vector"]) <= limit
-        far = np.iinfo(np.int64).max
-        left_label, right_label = left["id"].copy(), right["id"].copy()
-        while True:
+        near = within(left["vector"], right["vector"], limit)
+        rows, columns = near.any(axis=1), near.any(axis=0)
+        near = near[rows][:, columns]
+        ids, ranks = np.unique(np.concatenate([left["id"][rows], right["id"][columns]]), return_inverse=True)
+        ranks = ranks.astype("int32")
+        left_label, right_label = ranks[: len(near)], ranks[len(near) :]
+        far = np.int32(len(ids))
+        while len(near):
             new_left = np.minimum(left_label, np.where(near, right_label[None, :], far).min(axis=1))
             new_right = np.minimum(right_label, np.where(near, new_left[:, None], far).min(axis=0))
             if (new_left == left_label).all() and (new_right == right_label).all():
                 break
             left_label, right_label = new_left, new_right
-        ids = np.concatenate([left["id"], right["id"]])
         labels = np.concatenate([left_label, right_label])
-        return ids[ids != labels], labels[ids != labels]
+        moved = ranks != labels
+        return ids[ranks[moved]], ids[labels[moved]]
 
     return compare_near(cores, eps, axes, ["id", "vector"], link, "a bigint, b bigint").distinct()
 
@@ -132,13 +139,16 @@ def dbscan(
     limit = eps * eps
 
     def adopt(left, right):
-        cluster = right["cluster"]
-        near = (squared_distances(left["vector"], right["vector"]) <= limit) & (cluster != NOISE)[None, :]
-        best = np.where(near, cluster[None, :], np.iinfo(np.int64).max).min(axis=1)
+        near = within(left["vector"], right["vector"], limit)
+        best = np.where(near, right["cluster"][None, :], np.iinfo(np.int64).max).min(axis=1)
         hit = near.any(axis=1)
         return left["id"][hit], best[hit]
 
-    offers = compare_near(known, eps, axes, ["id", "vector", "cluster"], adopt, "id bigint, offer bigint")
+    # only rows without a cluster ask, and only those with one answer
+    offers = compare_near(
+        known.where(F.col("cluster") == NOISE), eps, axes, ["id", "vector", "cluster"], adopt, "id bigint, offer bigint",
+        known.where(F.col("cluster") != NOISE),
+    )
     adopted = offers.groupBy("id").agg(F.min("offer").alias("offer"))
     final = known.join(adopted, "id", "left").select(
         "id", "n_neighbours", (F.col("n_neighbours") >= min_samples).alias("is_core"),

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailscope.config import FEATURE_COLUMNS
+from retailscope.functions import blocks
 from retailscope.functions.ranks import average_percent_rank, cumulative_histogram, exact_quantiles, percent_ranks
 from retailscope.operators import clean, density, explain, metrics, neighbours, prep, segment, validate
 from retailscope.queries import explain as explain_queries
@@ -143,6 +144,28 @@ def test_dbscan_equals_brute_force(spark, monkeypatch, block_rows):
     assert len({f[2] for f in found.values()}) >= 3
 
 
+def test_within_agrees_with_distances_to_the_last_bit():
+    draw = np.random.default_rng(9)
+    for spread, offset in ((1.0, 0.0), (1e-4, 1e5), (1e6, -3.0)):
+        left, right = (np.round(draw.normal(offset, spread, (300, 12)), 3) for _ in range(2))
+        right[:50] = left[:50] + draw.choice([0.0, spread], (50, 12))  # many pairs at equal distances
+        exact = blocks.squared_distances(left, right)
+        for limit in (0.0, float(np.median(exact)), float(exact[3, 3]), float(np.nextafter(exact[3, 3], -1)), 12 * spread**2):
+            assert (blocks.within(left, right, limit) == (exact <= limit)).all()
+    left[0, 0], right[1, 1] = np.nan, np.inf
+    assert (blocks.within(left, right, 5.0) == (blocks.squared_distances(left, right) <= 5.0)).all()
+
+
+def test_near_blocks_are_compared_by_one_product(monkeypatch):
+    """A block pair of unequal points is settled without measuring each pair column by column."""
+    def measured(left, right):
+        raise AssertionError("all pairs were measured")
+
+    monkeypatch.setattr(blocks, "squared_distances", measured)
+    draw = np.random.default_rng(2)
+    assert blocks.within(draw.normal(size=(64, 12)), draw.normal(size=(64, 12)), 9.0).any()
+
+
 @pytest.mark.parametrize("block_rows", [1024, 32])
 def test_neighbours_equal_brute_force(spark, monkeypatch, block_rows):
     pack = neighbours.pack
