@@ -5,10 +5,12 @@ import re
 import pytest
 
 from retailscope.operators import features
-from retailscope.plans.feature_table import customer_rollup
+from retailscope.plans import feature_table as feature_table_plan
+from retailscope.plans.feature_table import customer_rollup, rollup_by_size
 from retailscope.queries.inputs import feature_table, history_input, lines, cutoff
 from retailscope.operators.reports import customer_lookup
 from retailscope.sources import star_schema
+from retailscope.sources.shared import ROWS_PER_PARTITION, partitions_for
 
 
 def plan(df) -> str:
@@ -59,3 +61,31 @@ def test_narrow_reads(spark, small):
 
 def test_lookup_is_pushed_down(spark, small):
     assert "EqualTo(customer_id,12042)" in plan(customer_lookup(feature_table(spark, small), 12042))
+
+
+def test_rollup_by_size_moves_lines_once(spark, small):
+    history, moment = history_input(spark, small)
+    assert plan(rollup_by_size(history, moment)).count("Exchange hashpartitioning") == 1
+
+
+def test_rollup_by_size_spreads_hot_customers(spark, small, monkeypatch):
+    history, moment = history_input(spark, small)
+    want = sorted(map(tuple, customer_rollup(history, moment).collect()))
+    monkeypatch.setattr(feature_table_plan, "HOT_LINES", 25)
+    monkeypatch.setattr(feature_table_plan, "HOT_GROUPS", 200)
+    mixed = rollup_by_size(history, moment)
+    assert plan(mixed).count("Exchange hashpartitioning") == 5  # some customers are hot, the others are not
+    got = sorted(map(tuple, mixed.collect()))
+    assert [r[:1] for r in got] == [r[:1] for r in want]
+    for mine, theirs in zip(got, want):
+        assert mine == pytest.approx(theirs, rel=1e-12)
+
+
+def test_partitions_follow_the_rows(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with partitions_for(spark, 40 * ROWS_PER_PARTITION + 1):
+        assert spark.conf.get(name) == "41"
+    with partitions_for(spark, 10):
+        assert spark.conf.get(name) == before
+    assert spark.conf.get(name) == before
