@@ -19,6 +19,7 @@ from retailscope.functions.timeparts import whole_days
 from retailscope.operators.features import history_rows, top_products
 from retailscope.operators.metrics import regression_metrics
 from retailscope.operators.prep import one_row
+from retailscope.sources.shared import materialize
 
 STEP_FIELDS = ("amount", "gap_days", "category_code")
 
@@ -93,8 +94,11 @@ def ordered_orders(orders: DataFrame) -> DataFrame:
 
 
 def purchase_sequences(lines: DataFrame, cutoff: datetime, max_products: int = 10) -> DataFrame:
-    """One row per step: all but the last order of customers whose last gap is positive; ``target`` is that gap."""
-    ordered = ordered_orders(customer_orders(lines, cutoff, max_products))
+    """One row per step: all but the last order of customers whose last gap is positive; ``target`` is that gap.
+
+    Orders are written first: they are read for their days and for their steps, and lines then move once.
+    """
+    ordered = ordered_orders(materialize(customer_orders(lines, cutoff, max_products), "orders"))
     return ordered.where(
         (F.col("n_orders") >= 2) & (F.col("last_gap") > 0) & (F.col("step") < F.col("n_orders"))
     ).select("customer_id", "step", *STEP_FIELDS, F.col("last_gap").alias("target"))

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from retailscope.operators import features
+from retailscope.operators import features, sequences
 from retailscope.plans import feature_table as feature_table_plan
 from retailscope.plans.feature_table import customer_rollup, rollup_by_size
 from retailscope.queries.inputs import feature_table, history_input, lines, cutoff
@@ -89,3 +89,9 @@ def test_partitions_follow_the_rows(spark):
     with partitions_for(spark, 10):
         assert spark.conf.get(name) == before
     assert spark.conf.get(name) == before
+
+
+def test_sequences_read_written_orders_not_lines(spark, small):
+    history, moment = history_input(spark, small)
+    text = plan(sequences.purchase_sequences(history, moment))
+    assert "FileScan parquet" in text and "stock_code" not in text and "quantity" not in text
