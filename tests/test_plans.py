@@ -9,7 +9,8 @@ from retailscope.plans import feature_table as feature_table_plan
 from retailscope.plans.feature_table import customer_rollup, rollup_by_size
 from retailscope.queries.inputs import feature_table, history_input, lines, cutoff
 from retailscope.operators.reports import customer_lookup
-from retailscope.sources import star_schema
+from retailscope.queries import inputs
+from retailscope.sources import shared, star_schema
 from retailscope.sources.shared import ROWS_PER_PARTITION, partitions_for
 
 
@@ -95,3 +96,12 @@ def test_sequences_read_written_orders_not_lines(spark, small):
     history, moment = history_input(spark, small)
     text = plan(sequences.purchase_sequences(history, moment))
     assert "FileScan parquet" in text and "stock_code" not in text and "quantity" not in text
+
+
+def test_cutoff_is_found_in_partitions_sized_by_rows(spark, small, monkeypatch):
+    name, seen, found = "spark.sql.shuffle.partitions", [], features.cutoff_date
+    monkeypatch.setattr(shared, "ROWS_PER_PARTITION", 500)
+    monkeypatch.setattr(inputs, "_cutoffs", {})
+    monkeypatch.setattr(features, "cutoff_date", lambda *given: seen.append(int(spark.conf.get(name))) or found(*given))
+    assert inputs.cutoff(spark, small) is not None
+    assert seen == [-(-inputs.line_count(spark, small) // 500)] and seen[0] > int(spark.conf.get(name))
