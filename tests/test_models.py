@@ -104,6 +104,19 @@ def test_trees_counted_by_jobs_equal_those_of_one_task(training, monkeypatch):
     assert (one.trees[0].feature == many.trees[0].feature).all() and np.allclose(one.trees[0].value, many.trees[0].value)
 
 
+def test_scores_of_jobs_are_written_every_few_trees(training, monkeypatch):
+    _, rows, edges, _ = training
+    labels, write = [], tree_models.materialize
+    monkeypatch.setattr(tree_models, "materialize", lambda df, label: labels.append(label) or write(df, label))
+    monkeypatch.setattr(tree_models, "TREES_UNWRITTEN", 3)
+    monkeypatch.setattr(tree_models, "BLOCK_ROWS", 130)
+    how = Boosting(7, 0.3, Limits(1.0, 1.0, depth=2), row_share=0.8)
+    one, many = (fit_boosted(rows, FEATURE_COLUMNS, edges, how, most).ensemble for most in (1000, 100))
+    assert labels == ["fit-blocks"] * 4  # the rows, their first score, and after three and six trees
+    for a, b in zip(one.trees, many.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and np.allclose(a.value, b.value)
+
+
 def test_shared_fits_score_like_separate_ones(spark, training):
     _, _, _, sample = training
     options = [{"n_estimators": n, "max_depth": d, "min_samples_leaf": m} for n in (6, 12) for d in (2, 4, None) for m in (1, 5)]
