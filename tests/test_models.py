@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailscope.config import FEATURE_COLUMNS
-from retailscope.functions.growth import Boosting, Limits
+from retailscope.functions.growth import Boosting, Limits, Rows, grow_by_level
 from retailscope.functions.trees import LEAF, rmse, roc_auc
 from retailscope.operators import metrics, models, neighbours, tree_models
 from retailscope.operators.logistic import newton
@@ -117,6 +117,32 @@ def test_scores_of_jobs_are_written_every_few_trees(training, monkeypatch):
         assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and np.allclose(a.value, b.value)
 
 
+def test_jobs_spread_the_blocks_of_a_fit(training, monkeypatch):
+    _, rows, edges, _ = training
+    monkeypatch.setattr(tree_models, "BLOCK_ROWS", 130)
+    blocks = tree_models.SparkRows(rows, edges).blocks
+    assert blocks.count() == 5 and len(blocks.inputFiles()) == 5
+
+
+def test_the_root_is_counted_once(training):
+    _, _, edges, sample = training
+
+    class Asked(Rows):
+        counted = []
+
+        def sums(self, nodes, columns):
+            self.counted.append(nodes)
+            return super().sums(nodes, columns)
+
+        def splits(self, nodes, columns, limits):
+            self.counted.append(nodes)
+            return super().splits(nodes, columns, limits)
+
+    parts = np.stack([sample.labels, np.ones(600), np.ones(600)], axis=1)
+    grow_by_level(Asked(sample.bins, parts), edges, Limits(depth=2))
+    assert Asked.counted == [[0], [1, 2]]
+
+
 def test_shared_fits_score_like_separate_ones(spark, training):
     _, _, _, sample = training
     options = [{"n_estimators": n, "max_depth": d, "min_samples_leaf": m} for n in (6, 12) for d in (2, 4, None) for m in (1, 5)]
