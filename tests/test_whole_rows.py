@@ -63,3 +63,24 @@ def test_a_row_asks_few_boxes():
     held, asked = boxes.Boxes(**found), points[:500]
     compared = [len(rows) * (at.stop - at.start) for rows, at, _ in held.within(asked, 0.04)]
     assert 0 < sum(compared) < 0.1 * len(asked) * len(points)
+
+
+def test_density_points_are_not_copied(spark):
+    draw = np.random.default_rng(5)
+    points = [(i, p.tolist(), 1 + i % 3) for i, p in enumerate(draw.normal(size=(900, 3)))]
+    df = spark.createDataFrame(points, "id bigint, vector array<double>, weight bigint")
+    counted = density.neighbour_counts(df, 0.5, 250)
+    assert "Generate" not in counted._jdf.queryExecution().executedPlan().toString()
+    values, weights = np.array([p[1] for p in points]), np.array([p[2] for p in points])
+    near = ((values[:, None] - values[None]) ** 2).sum(axis=2) <= 0.25
+    assert {r["id"]: r["n_neighbours"] for r in counted.collect()} == dict(enumerate((near @ weights).tolist()))
+    links = [(r["a"], r["b"]) for r in density.core_links(df, 0.5, 250).collect()]
+    assert len(links) < 0.5 * near.sum() and all(a < 900 and b < 900 for a, b in links)
+    labels = {r["id"]: r["label"] for r in density.connected_labels(df, density.core_links(df, 0.5, 250)).collect()}
+    smallest = np.arange(900)
+    for _ in range(900):
+        grown = np.where(near, smallest[None], 900).min(axis=1)
+        if (grown == smallest).all():
+            break
+        smallest = grown
+    assert labels == dict(enumerate(smallest.tolist()))
