@@ -84,3 +84,30 @@ def test_density_points_are_not_copied(spark):
             break
         smallest = grown
     assert labels == dict(enumerate(smallest.tolist()))
+
+
+def test_silhouette_judges_all_rows(spark):
+    draw = np.random.default_rng(6)
+    points = draw.normal(size=(4500, 3)) * 0.5 + np.repeat([[0.0], [3.0], [3.5]], 1500, axis=0)
+    points[10] = points[11]
+    rows = [(i, *map(float, p), i // 1500) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "customer_id bigint, x double, y double, z double, cluster int")
+    means = np.stack([np.linalg.norm(points[:, None] - points[None, own : own + 1500], axis=2).sum(axis=1) for own in (0, 1500, 3000)], axis=1)
+    own = np.arange(4500) // 1500
+    inside, others = means[np.arange(4500), own] / 1499, means / 1500
+    others[np.arange(4500), own] = np.inf
+    value = ((others.min(axis=1) - inside) / np.maximum(inside, others.min(axis=1))).mean()
+    found = segment.euclidean_silhouette(df, ["x", "y", "z"]).first()
+    assert found["n_judged"] == 4500 and found["standard_error"] == 0 and found["silhouette"] == pytest.approx(value, abs=1e-11)
+
+
+def test_silhouettes_are_the_same_in_slices(spark, monkeypatch):
+    rows = [(None if i % 9 == 0 else i % 50, float(i * i % 37), float(i % 11), i % 3, i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id bigint, x double, y double, a int, b int")
+    whole = segment.silhouettes(df, ["x", "y"], ["a", "b"], "customer_id").orderBy("clustering").collect()
+    monkeypatch.setattr(segment, "SLICE_ROWS", 150)
+    monkeypatch.setattr(segment, "MANY_CLUSTERS", 2)
+    cut = segment.silhouettes(df, ["x", "y"], ["a", "b"], "customer_id").orderBy("clustering").collect()
+    assert [r["n_judged"] for r in whole] == [r["n_judged"] for r in cut] == [400, 400]
+    for one, other in zip(whole, cut):
+        assert one["silhouette"] == pytest.approx(other["silhouette"], abs=1e-12)
