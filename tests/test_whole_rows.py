@@ -111,3 +111,75 @@ def test_silhouettes_are_the_same_in_slices(spark, monkeypatch):
     assert [r["n_judged"] for r in whole] == [r["n_judged"] for r in cut] == [400, 400]
     for one, other in zip(whole, cut):
         assert one["silhouette"] == pytest.approx(other["silhouette"], abs=1e-12)
+
+
+class Enough(Exception):
+    pass
+
+
+SHORT = {
+    "decision_tree": ("search_trees", [{"max_depth": 2, "min_samples_leaf": 1}, {"max_depth": 3, "min_samples_leaf": 1}]),
+    "random_forest": ("search_trees", [{"n_estimators": 3, "max_depth": d, "min_samples_leaf": 1} for d in (2, 3)]),
+    "boosted_trees": ("search_boosted", [{"learning_rate": r, "max_depth": 2, "n_estimators": 2} for r in (0.1, 0.3)]),
+    "boosted_trees_by_leaf": ("search_boosted", [{"learning_rate": r, "num_leaves": 3, "n_estimators": 2} for r in (0.1, 0.3)]),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SHORT))
+def test_searches_read_all_rows(noisy, monkeypatch, name):
+    def search(spark, held, *rest, **more):
+        raise Enough(len(held.labels))
+
+    monkeypatch.setattr(models, "MAX_SAMPLE_ROWS", 100, raising=False)
+    monkeypatch.setattr(models, SHORT[name][0], search)
+    with pytest.raises(Enough, match="500"):
+        models.CLASSIFIERS[name].fit(noisy, SHORT[name][1])
+
+
+def test_forests_are_fitted_on_all_rows(noisy, monkeypatch):
+    def fit(spark, held, *rest, **more):
+        raise Enough(len(held.labels))
+
+    monkeypatch.setattr(models, "MAX_SAMPLE_ROWS", 100, raising=False)
+    monkeypatch.setattr(models, "fit_forest", fit)
+    with pytest.raises(Enough, match="500"):
+        models.CLASSIFIERS["random_forest"].fit(noisy, [{"n_estimators": 3, "max_depth": 2, "min_samples_leaf": 1}])
+    with pytest.raises(Enough, match="500"):
+        models.train_clv_regressor(noisy, "spend", [{"n_estimators": 3, "max_depth": 2}])
+
+
+def test_logistic_settings_are_judged_on_all_rows(noisy, monkeypatch):
+    monkeypatch.setattr(models, "MAX_SAMPLE_ROWS", 100, raising=False)
+    options = [{"C": 0.01}, {"C": 1.0}]
+    _, best, score = models.CLASSIFIERS["logistic_regression"].fit(noisy, options)
+    held = noisy.toPandas()
+    values = held[list(FEATURE_COLUMNS)].to_numpy()
+    values = (values - values.mean(axis=0)) / values.std(axis=0)
+    own = []
+    for fold in range(5):
+        inside = (held["fold"] != fold).to_numpy()
+        weights = np.zeros(13)
+        given = np.concatenate([values, np.ones((500, 1))], axis=1)
+        for _ in range(30):
+            chance = 1 / (1 + np.exp(-given[inside] @ weights))
+            ridge = np.append(np.ones(12), 0) / best["C"]
+            slope = given[inside].T @ (chance - held["churned"][inside]) + ridge * weights
+            weights -= np.linalg.solve((given[inside] * (chance * (1 - chance))[:, None]).T @ given[inside] + np.diag(ridge) + 1e-12 * np.eye(13), slope)
+        own.append(roc_auc(held["churned"][~inside].to_numpy(), given[~inside] @ weights))
+    assert score == pytest.approx(np.mean(own), abs=1e-6)
+
+
+def test_large_forests_are_scored_where_they_are_stored(spark, noisy, monkeypatch):
+    rows = tree_models.training_rows(noisy, FEATURE_COLUMNS, "churned", F.lit(1.0))
+    held = tree_models.held_rows(rows, tree_models.bin_edges(rows, 12))
+    small = tree_models.fit_forest(spark, held, FEATURE_COLUMNS, 25, Limits(), 42, 3)
+    monkeypatch.setattr(tree_models, "MAX_NODES", 10)
+    monkeypatch.setattr(tree_models, "MAX_TASK_ROWS", 200)
+    monkeypatch.setattr(tree_models, "JUDGED_AT_ONCE", 64)
+    large = tree_models.fit_forest(spark, held, FEATURE_COLUMNS, 25, Limits(), 42, 3)
+    assert type(large) is tree_models.StoredForest and large.__dict__["ensemble"] is None
+    twice = noisy.unionByName(noisy.limit(20)).withColumn("customer_id", F.when(F.col("customer_id") > 3, F.col("customer_id")))
+    one, many = (np.sort(m.transform(twice).toPandas()["probability"]) for m in (small, large))
+    assert len(one) == len(many) == 520 and np.allclose(one, many, atol=1e-12)
+    assert large.transform(noisy).columns == small.transform(noisy).columns
+    large.save(spark, str(spark.conf.get("spark.checkpoint.dir")) + "/whole-rows-model")
