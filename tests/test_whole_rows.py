@@ -183,3 +183,18 @@ def test_large_forests_are_scored_where_they_are_stored(spark, noisy, monkeypatc
     assert len(one) == len(many) == 520 and np.allclose(one, many, atol=1e-12)
     assert large.transform(noisy).columns == small.transform(noisy).columns
     large.save(spark, str(spark.conf.get("spark.checkpoint.dir")) + "/whole-rows-model")
+
+
+def test_side_by_side_blocks_keep_the_partitions(spark):
+    from retailscope.sources.shared import ROWS_PER_PARTITION, partitions_for
+
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    one, two = partitions_for(spark, 50 * ROWS_PER_PARTITION), partitions_for(spark, 70 * ROWS_PER_PARTITION)
+    one.__enter__()
+    two.__enter__()
+    assert spark.conf.get(name) == "70"
+    one.__exit__(None, None, None)
+    assert spark.conf.get(name) == "70"
+    two.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
