@@ -45,6 +45,8 @@ def tiled(points: DataFrame, row_id: str = "id") -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             asked = (matrix(batch.column("vector"), batch.num_rows) - middle) @ axes
             tile = [gaps(asked[i : i + ASKED_AT_ONCE], low, high).argmin(axis=1) for i in range(0, batch.num_rows, ASKED_AT_ONCE)]
             tiles = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *tile]).astype(np.int32))

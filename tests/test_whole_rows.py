@@ -185,6 +185,20 @@ def test_large_forests_are_scored_where_they_are_stored(spark, noisy, monkeypatc
     large.save(spark, str(spark.conf.get("spark.checkpoint.dir")) + "/whole-rows-model")
 
 
+def test_tables_without_rows_or_cores(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0, 0), (2, 5.0, 1.0, 1), (3, 9.0, 2.0, 1)], "customer_id bigint, x double, y double, cluster int")
+    alone = density.dbscan(df, ["x", "y"], 0.5, 3).orderBy("customer_id").collect()
+    assert [tuple(r) for r in alone] == [(1, 1, False, -1), (2, 1, False, -1), (3, 1, False, -1)]
+    every = density.dbscan(df, ["x", "y"], 0.5, 1).orderBy("customer_id").collect()
+    assert [r["cluster"] for r in every] == [0, 1, 2]
+    none = df.where("customer_id > 5")
+    assert density.dbscan(none, ["x", "y"]).collect() == density.dbscan_core(none, ["x", "y"]).collect() == []
+    assert tuple(segment.euclidean_silhouette(none, ["x", "y"]).first()) == (None, 0, None)
+    assert neighbours.knn_classify(none, df, ["x", "y"], 2, label="cluster").collect() == []
+    with pytest.raises(ValueError, match="empty"):
+        neighbours.knn_classify(df, none, ["x", "y"], 2, label="cluster")
+
+
 def test_side_by_side_blocks_keep_the_partitions(spark):
     from retailscope.sources.shared import ROWS_PER_PARTITION, partitions_for
 
